@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from shopfloor import telemetry_queries, time_queries  # noqa: F401
+from shopfloor import telemetry_queries, time_queries, warehouse_queries  # noqa: F401
 from shopfloor.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

@@ -265,7 +265,7 @@ def run_stream(spark: SparkSession, rows: DataFrame) -> DataFrame:
 @query(EXPECTED_EVENTS)
 def stream_log_ingest(spark: SparkSession, folder: str) -> DataFrame:
     path = write_lines(views.log_lines(spark, folder).select("value", "kind"), "log")
-    lines = streaming.stream_text(spark, f"{path}/*/*.txt", files=4)
+    lines = streaming.stream_text(spark, f"{path}/*/*.txt", files=16)
     return run_stream(spark, telemetry.extract_events(lines.select("value")))
 
 

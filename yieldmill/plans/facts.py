@@ -85,7 +85,18 @@ def _documented(cards: DataFrame, docs: DataFrame) -> DataFrame:
 def _moves(
     wip: DataFrame, cards: DataFrame, docs: DataFrame, window: tuple[datetime, datetime]
 ) -> DataFrame:
-    moves = wip.filter(in_window("TRANSFER_DATE", window) & valid_move())
+    moves = wip.filter(in_window("TRANSFER_DATE", window) & valid_move()).select(
+        "RUN_NO",
+        "PRODUCT_PART_NO",
+        "OPERATION_NO",
+        "ROUTING_SEQ",
+        "MACHINE_NO",
+        "INPUT",
+        "SCRAP",
+        "TRANSFER_DATE",
+        "DATE_IN",
+        "DATE_OUT",
+    )
     joined = moves.join(_documented(cards, docs), ["RUN_NO", "PRODUCT_PART_NO"])
     return joined.withColumns(
         {
