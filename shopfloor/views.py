@@ -1,7 +1,8 @@
 """The driver's tables seen as a plant.
 
-Orders are run cards, customers are products, line items are moves, suppliers are
-machines and lines, events are telemetry.  Every view covers its whole tables.
+Orders are run cards, their customers products, their status the document, their
+priority the line; line items are moves, suppliers are machines, events are
+telemetry.  Every view covers its whole tables.
 ``SQL`` holds the same views for DuckDB.
 """
 
@@ -20,8 +21,36 @@ LOOK_BACK_AS_OF = date(1997, 6, 30)
 FIRST_DAY, LAST_DAY = date(1994, 12, 31), date(2001, 12, 31)
 
 
+# Columns of the driver's tables, so that no job is needed to infer them.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+        "p_retailprice double"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+        "props string"
+    ),
+}
+
+
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def seconds(column: Column) -> Column:
@@ -38,68 +67,71 @@ def code(number: Column) -> Column:
     return F.lpad((number * 10).cast("string"), 4, "0")
 
 
-def cards(spark: SparkSession, folder: str) -> DataFrame:
-    """Run cards (orders of customers)."""
-    customer = load(spark, folder, "customer")
-    nation = load(spark, folder, "nation").select("n_nationkey", "n_name")
-    status = F.col("o_orderstatus")
-    return (
-        load(spark, folder, "orders")
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            F.col("c_name").alias("PRODUCT_PART_NO"),
-            run_no("o_orderkey").alias("RUN_NO"),
-            F.col("c_mktsegment").alias("EER_NO"),
-            (F.col("o_orderdate") + seconds(F.col("o_totalprice"))).alias("CREATED_DATE"),
-            F.col("o_orderpriority").alias("JIT_CELL_NO"),
-            F.when(status == "P", "PSUDO").when(status == "F", "MES").alias("APP_NAME"),
-            F.col("n_name").alias("MPT_PRODUCT_PART_NO"),
-            "o_orderkey",
-            "o_custkey",
-            "o_orderstatus",
-        )
-    )
+def product_no(customer: str) -> Column:
+    """Name of a customer, which is its number in a fixed form."""
+    return F.concat(F.lit("Customer#"), F.lpad(F.col(customer).cast("string"), 9, "0"))
 
 
-def lot_type(segment: str) -> Column:
-    return (
-        F.when(F.col(segment) == "MACHINERY", "MAT")
-        .when(F.col(segment) == "FURNITURE", "UDP")
-        .otherwise("NRM")
+def document_no(status: str) -> Column:
+    return F.concat(F.lit("EER-"), F.col(status))
+
+
+def lot_type(document: str) -> Column:
+    number = F.col(document)
+    return F.when(number == "EER-F", "MAT").when(number == "EER-O", "UDP").otherwise("NRM")
+
+
+def created() -> Column:
+    return F.col("o_orderdate") + seconds(F.col("o_totalprice"))
+
+
+def cards(spark: SparkSession, folder: str) -> DataFrame:
+    """Run cards: one per order."""
+    priority = F.col("o_orderpriority")
+    return load(spark, folder, "orders").select(
+        product_no("o_custkey").alias("PRODUCT_PART_NO"),
+        run_no("o_orderkey").alias("RUN_NO"),
+        document_no("o_orderstatus").alias("EER_NO"),
+        created().alias("CREATED_DATE"),
+        priority.alias("JIT_CELL_NO"),
+        F.when(priority == "1-URGENT", "PSUDO").when(priority == "2-HIGH", "MES").alias("APP_NAME"),
+        F.concat(F.lit("MPT"), F.floor(F.col("o_custkey") / 10).cast("string")).alias(
+            "MPT_PRODUCT_PART_NO"
+        ),
+        "o_orderkey",
+        "o_custkey",
+        "o_orderstatus",
     )
 
 
 def docs(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents: one per product, cell and segment that has orders."""
-    return (
-        cards(spark, folder)
-        .groupBy("PRODUCT_PART_NO", "JIT_CELL_NO", F.col("EER_NO").alias("EERNO"))
-        .agg(F.min("CREATED_DATE").alias("CREATED_DATE"))
-        .withColumns(
-            {
-                "LAT_LOT_TYPE": lot_type("EERNO"),
-                "MATERIAL_TYPE": F.when(F.col("JIT_CELL_NO") == "5-LOW", "RAW").otherwise("WIP"),
-            }
-        )
+    """Documents: one per product, line and status that has orders."""
+    first = (
+        load(spark, folder, "orders")
+        .groupBy("o_custkey", "o_orderpriority", "o_orderstatus")
+        .agg(F.min(created()).alias("CREATED_DATE"))
     )
+    return first.select(
+        product_no("o_custkey").alias("PRODUCT_PART_NO"),
+        F.col("o_orderpriority").alias("JIT_CELL_NO"),
+        document_no("o_orderstatus").alias("EERNO"),
+        "CREATED_DATE",
+        F.when(F.col("o_orderpriority") == "5-LOW", "RAW").otherwise("WIP").alias("MATERIAL_TYPE"),
+    ).withColumn("LAT_LOT_TYPE", lot_type("EERNO"))
 
 
 def moves(spark: SparkSession, folder: str) -> DataFrame:
     """Moves: one per line item, with missing and negative quantities."""
-    card = load(spark, folder, "orders").join(
-        load(spark, folder, "customer").select("c_custkey", "c_name", "c_mktsegment"),
-        F.col("o_custkey") == F.col("c_custkey"),
-    )
+    orders = load(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     quantity = F.col("l_quantity")
     lost = quantity * F.col("l_discount")
     rejected = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O")
     shipped = F.col("l_shipdate") + seconds(F.col("l_extendedprice"))
     return (
         load(spark, folder, "lineitem")
-        .join(card.select("o_orderkey", "c_name", "c_mktsegment"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
-            F.col("c_name").alias("PRODUCT_PART_NO"),
+            product_no("o_custkey").alias("PRODUCT_PART_NO"),
             run_no("l_orderkey").alias("RUN_NO"),
             code(F.col("l_linenumber")).alias("OPERATION_NO"),
             (F.col("l_linenumber") * 10).cast("int").alias("ROUTING_SEQ"),
@@ -114,18 +146,28 @@ def moves(spark: SparkSession, folder: str) -> DataFrame:
             F.concat(
                 F.lit("Supplier#"), F.lpad(F.col("l_suppkey").cast("string"), 9, "0")
             ).alias("MACHINE_NO"),
-            F.col("c_mktsegment").alias("EER_NO"),
+            document_no("o_orderstatus").alias("EER_NO"),
         )
     )
 
 
-def routing(spark: SparkSession, folder: str) -> DataFrame:
-    """Routing steps that occur in the moves."""
-    return (
-        moves(spark, folder)
-        .select("PRODUCT_PART_NO", "EER_NO", "OPERATION_NO", "ROUTING_SEQ")
+def routing(spark: SparkSession, folder: str, numbers: list[int] | None = None) -> DataFrame:
+    """Routing steps that occur in the moves, reduced to distinct numbers before naming them."""
+    lines = load(spark, folder, "lineitem").select("l_orderkey", "l_linenumber")
+    if numbers is not None:
+        lines = lines.filter(F.col("l_linenumber").isin(numbers))
+    orders = load(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    steps = (
+        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .select("o_custkey", "o_orderstatus", "l_linenumber")
         .distinct()
     )
+    return steps.select(
+        product_no("o_custkey").alias("PRODUCT_PART_NO"),
+        document_no("o_orderstatus").alias("EER_NO"),
+        code(F.col("l_linenumber")).alias("OPERATION_NO"),
+        (F.col("l_linenumber") * 10).cast("int").alias("ROUTING_SEQ"),
+    )
 
 
 def operations(spark: SparkSession, folder: str) -> DataFrame:
@@ -145,25 +187,21 @@ def operations(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-# Role of an operation on its route.
-ROLES = {"0020": "YIELD", "0050": "ENDYI", "0060": "LAT", "0070": "PACK"}
+# Role of a line number on its route.
+ROLES = {2: "YIELD", 5: "ENDYI", 6: "LAT", 7: "PACK"}
 
 
 def start_ops(spark: SparkSession, folder: str) -> DataFrame:
     """Start operations: the routing steps with a role."""
     role = F.lit(None).cast("string")
-    for operation, name in ROLES.items():
-        role = F.when(F.col("OPERATION_NO") == operation, name).otherwise(role)
-    return (
-        routing(spark, folder)
-        .select(
-            "PRODUCT_PART_NO",
-            "EER_NO",
-            "OPERATION_NO",
-            role.alias("TYPE"),
-            F.when(F.col("EER_NO") == "BUILDING", "CLOSED").otherwise("ACTIVE").alias("STATUS"),
-        )
-        .filter(F.col("TYPE").isNotNull())
+    for number, name in ROLES.items():
+        role = F.when(F.col("ROUTING_SEQ") == number * 10, name).otherwise(role)
+    return routing(spark, folder, list(ROLES)).select(
+        "PRODUCT_PART_NO",
+        "EER_NO",
+        "OPERATION_NO",
+        role.alias("TYPE"),
+        F.when(F.col("EER_NO") == "EER-P", "CLOSED").otherwise("ACTIVE").alias("STATUS"),
     )
 
 
@@ -208,9 +246,9 @@ def weeks(spark: SparkSession, folder: str) -> DataFrame:
 def card_dim(spark: SparkSession, folder: str) -> DataFrame:
     """Run-card dimension of all orders."""
     return cards(spark, folder).select(
-        (F.col("o_orderkey") + 100_000_001).cast("int").alias("RUNCARD_NO_KEY"),
+        (F.col("o_orderkey") + 100_000_001).alias("RUNCARD_NO_KEY"),
         F.col("RUN_NO").alias("RUNCARD_NO"),
-        (F.col("o_custkey") + 100_000_001).cast("int").alias("PRODUCT_PART_NO_KEY"),
+        (F.col("o_custkey") + 100_000_001).alias("PRODUCT_PART_NO_KEY"),
         "EER_NO",
         lot_type("EER_NO").alias("LAT_LOT_TYPE"),
         "CREATED_DATE",
@@ -232,7 +270,7 @@ def product_dim(spark: SparkSession, folder: str) -> DataFrame:
         customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         .select(
-            (F.col("c_custkey") + 100_000_001).cast("int").alias("PRODUCT_PART_NO_KEY"),
+            (F.col("c_custkey") + 100_000_001).alias("PRODUCT_PART_NO_KEY"),
             F.col("c_name").alias("PRODUCT_PART_NO"),
             F.col("n_name").alias("MPT_PART_NO"),
             F.col("r_name").alias("FAMILY_NAME"),
@@ -261,7 +299,7 @@ def machine_dim(spark: SparkSession, folder: str) -> DataFrame:
         load(spark, folder, "supplier")
         .filter(F.col("s_acctbal") > 0)
         .select(
-            (F.col("s_suppkey") + 100_000_001).cast("int").alias("MACHINE_NO_KEY"),
+            (F.col("s_suppkey") + 100_000_001).alias("MACHINE_NO_KEY"),
             F.col("s_name").alias("MACHINE_NO"),
         )
     )
@@ -406,23 +444,24 @@ def json_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 SQL: dict[str, str] = {
     "cards": """
-        SELECT c_name AS PRODUCT_PART_NO,
+        SELECT 'Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS PRODUCT_PART_NO,
                'R' || lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS RUN_NO,
-               c_mktsegment AS EER_NO,
+               'EER-' || o_orderstatus AS EER_NO,
                o_orderdate + to_seconds(CAST(floor(o_totalprice) AS BIGINT)) AS CREATED_DATE,
                o_orderpriority AS JIT_CELL_NO,
-               CASE o_orderstatus WHEN 'P' THEN 'PSUDO' WHEN 'F' THEN 'MES' END AS APP_NAME,
-               n_name AS MPT_PRODUCT_PART_NO, o_orderkey, o_custkey, o_orderstatus
-        FROM orders JOIN customer ON o_custkey = c_custkey
-             JOIN nation ON c_nationkey = n_nationkey""",
+               CASE o_orderpriority WHEN '1-URGENT' THEN 'PSUDO' WHEN '2-HIGH' THEN 'MES' END
+                   AS APP_NAME,
+               'MPT' || (o_custkey // 10) AS MPT_PRODUCT_PART_NO,
+               o_orderkey, o_custkey, o_orderstatus
+        FROM orders""",
     "docs": """
         SELECT PRODUCT_PART_NO, JIT_CELL_NO, EER_NO AS EERNO, min(CREATED_DATE) AS CREATED_DATE,
-               CASE EER_NO WHEN 'MACHINERY' THEN 'MAT' WHEN 'FURNITURE' THEN 'UDP'
-                    ELSE 'NRM' END AS LAT_LOT_TYPE,
+               CASE EER_NO WHEN 'EER-F' THEN 'MAT' WHEN 'EER-O' THEN 'UDP' ELSE 'NRM' END
+                   AS LAT_LOT_TYPE,
                CASE JIT_CELL_NO WHEN '5-LOW' THEN 'RAW' ELSE 'WIP' END AS MATERIAL_TYPE
         FROM cards GROUP BY PRODUCT_PART_NO, JIT_CELL_NO, EER_NO""",
     "moves": """
-        SELECT c_name AS PRODUCT_PART_NO,
+        SELECT 'Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS PRODUCT_PART_NO,
                'R' || lpad(CAST(l_orderkey AS VARCHAR), 10, '0') AS RUN_NO,
                lpad(CAST(l_linenumber * 10 AS VARCHAR), 4, '0') AS OPERATION_NO,
                CAST(l_linenumber * 10 AS INTEGER) AS ROUTING_SEQ,
@@ -436,9 +475,8 @@ SQL: dict[str, str] = {
                l_shipdate + to_seconds(CAST(floor(l_extendedprice) AS BIGINT))
                    + INTERVAL 1 HOUR AS DATE_OUT,
                'Supplier#' || lpad(CAST(l_suppkey AS VARCHAR), 9, '0') AS MACHINE_NO,
-               c_mktsegment AS EER_NO
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-             JOIN customer ON o_custkey = c_custkey""",
+               'EER-' || o_orderstatus AS EER_NO
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "routing": """
         SELECT DISTINCT PRODUCT_PART_NO, EER_NO, OPERATION_NO, ROUTING_SEQ FROM moves""",
     "operations": """
@@ -452,7 +490,7 @@ SQL: dict[str, str] = {
             SELECT PRODUCT_PART_NO, EER_NO, OPERATION_NO,
                    CASE OPERATION_NO WHEN '0020' THEN 'YIELD' WHEN '0050' THEN 'ENDYI'
                         WHEN '0060' THEN 'LAT' WHEN '0070' THEN 'PACK' END AS TYPE,
-                   CASE EER_NO WHEN 'BUILDING' THEN 'CLOSED' ELSE 'ACTIVE' END AS STATUS
+                   CASE EER_NO WHEN 'EER-P' THEN 'CLOSED' ELSE 'ACTIVE' END AS STATUS
             FROM routing) WHERE TYPE IS NOT NULL""",
     "transactions": """
         SELECT 'R' || lpad(CAST(l_orderkey AS VARCHAR), 10, '0') AS RUN_NO,
@@ -476,16 +514,16 @@ SQL: dict[str, str] = {
               FROM (SELECT CAST(o_orderdate AS DATE) AS day FROM orders
                     UNION SELECT CAST(l_shipdate AS DATE) FROM lineitem))""",
     "card_dim": """
-        SELECT CAST(o_orderkey + 100000001 AS INTEGER) AS RUNCARD_NO_KEY, RUN_NO AS RUNCARD_NO,
-               CAST(o_custkey + 100000001 AS INTEGER) AS PRODUCT_PART_NO_KEY, EER_NO,
-               CASE EER_NO WHEN 'MACHINERY' THEN 'MAT' WHEN 'FURNITURE' THEN 'UDP'
+        SELECT o_orderkey + 100000001 AS RUNCARD_NO_KEY, RUN_NO AS RUNCARD_NO,
+               o_custkey + 100000001 AS PRODUCT_PART_NO_KEY, EER_NO,
+               CASE EER_NO WHEN 'EER-F' THEN 'MAT' WHEN 'EER-O' THEN 'UDP'
                     ELSE 'NRM' END AS LAT_LOT_TYPE,
                CREATED_DATE,
                CAST(CAST(left(JIT_CELL_NO, 1) AS INTEGER) + 100000000 AS INTEGER) AS LINE_NO_KEY,
                CAST(NULL AS VARCHAR) AS FROM_RUN, 'WA' AS PLANT
         FROM cards""",
     "product_dim": """
-        SELECT CAST(c_custkey + 100000001 AS INTEGER) AS PRODUCT_PART_NO_KEY,
+        SELECT c_custkey + 100000001 AS PRODUCT_PART_NO_KEY,
                c_name AS PRODUCT_PART_NO, n_name AS MPT_PART_NO, r_name AS FAMILY_NAME,
                'WA' AS PLANT
         FROM customer JOIN nation ON c_nationkey = n_nationkey
@@ -495,7 +533,7 @@ SQL: dict[str, str] = {
                    AS LINE_NO_KEY, o_orderpriority AS LINE_NO, 'WA' AS PLANT
         FROM orders""",
     "machine_dim": """
-        SELECT CAST(s_suppkey + 100000001 AS INTEGER) AS MACHINE_NO_KEY, s_name AS MACHINE_NO
+        SELECT s_suppkey + 100000001 AS MACHINE_NO_KEY, s_name AS MACHINE_NO
         FROM supplier WHERE s_acctbal > 0""",
     "edges": """
         SELECT RUN_NO,

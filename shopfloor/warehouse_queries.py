@@ -204,14 +204,14 @@ def correlated_max(spark: SparkSession, folder: str) -> DataFrame:
 # --- fact and mart ------------------------------------------------------------
 
 ROUTING_SQL = """
-    SELECT CAST(CAST(right(PRODUCT_PART_NO, 9) AS BIGINT) * 10 + ROUTING_SEQ // 10 + 100000000
-                AS INTEGER) AS ROUTE_OPERATION_NO_KEY,
-           CAST(CAST(right(PRODUCT_PART_NO, 9) AS BIGINT) + 100000001 AS INTEGER)
-                AS PRODUCT_PART_NO_KEY,
+    SELECT (CAST(right(PRODUCT_PART_NO, 9) AS BIGINT) * 3
+                + CASE EER_NO WHEN 'EER-F' THEN 0 WHEN 'EER-O' THEN 1 ELSE 2 END) * 10
+               + ROUTING_SEQ // 10 + 100000000 AS ROUTE_OPERATION_NO_KEY,
+           CAST(right(PRODUCT_PART_NO, 9) AS BIGINT) + 100000001 AS PRODUCT_PART_NO_KEY,
            OPERATION_NO, EER_NO,
            CASE ROUTING_SEQ WHEN 60 THEN '480' WHEN 70 THEN '490'
                 ELSE CAST(ROUTING_SEQ AS VARCHAR) END AS OPERATION_SEQ,
-           CASE EER_NO WHEN 'MACHINERY' THEN 'MAT' WHEN 'FURNITURE' THEN 'UDP' ELSE 'NRM' END
+           CASE EER_NO WHEN 'EER-F' THEN 'MAT' WHEN 'EER-O' THEN 'UDP' ELSE 'NRM' END
                AS LOT_TYPE,
            CASE WHEN ROUTING_SEQ BETWEEN 20 AND 50 THEN 'YIELD' END AS YIELD
     FROM routing"""
@@ -228,10 +228,11 @@ DATES_SQL = """
 def routing_dim(spark: SparkSession, folder: str) -> DataFrame:
     number = F.right("PRODUCT_PART_NO", F.lit(9)).cast("long")
     step = F.floor(F.col("ROUTING_SEQ") / 10)
-    sequence = F.col("ROUTING_SEQ")
+    sequence, document = F.col("ROUTING_SEQ"), F.col("EER_NO")
+    place = F.when(document == "EER-F", 0).when(document == "EER-O", 1).otherwise(2)
     return views.routing(spark, folder).select(
-        (number * 10 + step + 100_000_000).cast("int").alias("ROUTE_OPERATION_NO_KEY"),
-        (number + 100_000_001).cast("int").alias("PRODUCT_PART_NO_KEY"),
+        ((number * 3 + place) * 10 + step + 100_000_000).alias("ROUTE_OPERATION_NO_KEY"),
+        (number + 100_000_001).alias("PRODUCT_PART_NO_KEY"),
         "OPERATION_NO",
         "EER_NO",
         F.when(sequence == 60, "480")
@@ -726,7 +727,7 @@ SOURCE_SQL = """
     FROM canonical a
          LEFT JOIN spans b ON a.PRODUCT_PART_NO = b.PRODUCT_PART_NO AND a.EER_NO = b.EER_NO
                           AND a.OPERATION_NO = b.OPERATION_NO
-         LEFT JOIN (SELECT c_name, CAST(c_custkey + 100000001 AS INTEGER) AS key FROM customer
+         LEFT JOIN (SELECT c_name, c_custkey + 100000001 AS key FROM customer
                     WHERE c_acctbal >= 0) p ON a.PRODUCT_PART_NO = p.c_name"""
 
 
@@ -787,15 +788,15 @@ def null_key_upsert(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
-              CAST(300000000 + row_number() OVER (ORDER BY l_partkey, l_suppkey, l_orderkey,
-                       l_linenumber, l_extendedprice) AS INTEGER) AS line_key
+              300000000 + row_number() OVER (ORDER BY l_partkey, l_suppkey, l_orderkey,
+                       l_linenumber, l_extendedprice) AS line_key
        FROM lineitem"""
 )
 def key_assign(spark: SparkSession, folder: str) -> DataFrame:
     lines = load(spark, folder, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"
     )
-    empty = lines.select(F.lit(0).alias("line_key")).filter(F.lit(False))
+    empty = lines.select(F.lit(0).cast("long").alias("line_key")).filter(F.lit(False))
     order = ["l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", "l_extendedprice"]
     return keys.assign_keys(lines, empty, "line_key", order, keys.KEY_BASE["WH"])
 

@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from yieldmill.session import materialise
+
 
 def lookup_key(
     df: DataFrame, dim: DataFrame, on: Mapping[str, str], keys: Sequence[str], how: str = "inner"
@@ -37,10 +39,11 @@ def not_in(df: DataFrame, column: str, values: DataFrame) -> DataFrame:
     Keeps the SQL meaning: a NULL among the values leaves nothing, an empty list
     leaves everything, and a NULL on the left passes only against an empty list.
     Spark would broadcast the list whatever its size; this is an ordinary anti join
-    on distinct values plus a one-row check for NULL.
+    on distinct values plus a one-row check for NULL.  The distinct values are
+    written once, because both need them.
     """
     name = values.columns[0]
-    listed = values.select(F.col(name).alias("_value")).distinct()
+    listed = materialise(values.select(F.col(name).alias("_value")).distinct(), "listed")
     holds_null = listed.agg(F.bool_or(F.col("_value").isNull())).scalar()
     open_rows = df.filter(holds_null.isNull() | (~holds_null & F.col(column).isNotNull()))
     return open_rows.join(listed, F.col(column) == F.col("_value"), "left_anti")

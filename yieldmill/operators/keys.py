@@ -62,12 +62,14 @@ def assign_keys(
 
     ``scope`` limits the target rows whose highest key counts, such as one plant
     or one session; without any the keys start after ``base``.  ``order_by`` should
-    end with the full business key so the numbering is repeatable.
+    end with the full business key so the numbering is repeatable.  Keys have the
+    type of the target column.
     """
+    kind = target.schema[key].dataType
     rows = target if scope is None else target.filter(scope)
     highest = rows.agg(F.coalesce(F.max(key), F.lit(base)).cast("long").alias("_highest"))
     numbered = number_rows(new.drop(key), order_by, "_number")
     columns = [F.col(name) for name in numbered.columns if name != "_number"]
     return numbered.select(
-        (F.col("_number") + highest.scalar()).cast("int").alias(key), *columns
+        (F.col("_number") + highest.scalar()).cast(kind).alias(key), *columns
     )

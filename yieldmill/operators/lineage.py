@@ -18,10 +18,10 @@ class LineageCycle(ValueError):
 def conversions(
     edges: DataFrame, window: tuple[datetime, datetime] | None = None
 ) -> DataFrame:
-    """Distinct conversions FROM_RUN -> RUN_NO, optionally of one window."""
+    """Conversions FROM_RUN -> RUN_NO, optionally of one window."""
     rows = edges if window is None else edges.filter(in_window("CONVERTED_DATE", window))
     rows = rows.filter(F.col("RUN_NO").isNotNull() & F.col("FROM_RUN").isNotNull())
-    return rows.select("RUN_NO", "FROM_RUN").distinct()
+    return rows.select("RUN_NO", "FROM_RUN")
 
 
 def last_descendants(edges: DataFrame, latest: str = "max") -> DataFrame:
@@ -40,16 +40,15 @@ def last_descendants(edges: DataFrame, latest: str = "max") -> DataFrame:
     if latest not in ("max", "deepest"):
         raise ValueError(f"latest must be 'max' or 'deepest', not {latest!r}")
     rank = ("run", "depth") if latest == "max" else ("depth", "run")
-    jumps = materialise(
-        edges.select(F.col("RUN_NO").alias("node"), F.col("FROM_RUN").alias("ancestor")), "jumps"
-    )
+    jumps = edges.select(F.col("RUN_NO").alias("node"), F.col("FROM_RUN").alias("ancestor"))
+    jumps = materialise(jumps.distinct(), "jumps")
     # Without a cycle no chain is longer than the number of conversions.
     longest = pairs = jumps.count()
     # best: the best strict descendant of a run at a distance of at most `reach`.
-    best = materialise(
-        _best(jumps.select("ancestor", F.col("node").alias("run"), F.lit(1).alias("depth")), rank),
-        "best",
+    best = _best(
+        jumps.select("ancestor", F.col("node").alias("run"), F.lit(1).alias("depth")), rank
     )
+    best = materialise(best, "best")
     reach = 1
     while pairs:
         if reach > longest:
@@ -58,10 +57,16 @@ def last_descendants(edges: DataFrame, latest: str = "max") -> DataFrame:
         carried = jumps.join(best.withColumnRenamed("ancestor", "node"), "node").select(
             "ancestor", "run", (F.col("depth") + reach).alias("depth")
         )
-        best = materialise(_best(best.unionByName(carried), rank), "best")
+        better = _best(best.unionByName(carried), rank)
         above = jumps.select(F.col("node").alias("ancestor"), F.col("ancestor").alias("next"))
-        jumps = jumps.join(above, "ancestor").select("node", F.col("next").alias("ancestor"))
-        jumps = materialise(jumps.distinct(), "jumps")
+        further = jumps.join(above, "ancestor").select("node", F.col("next").alias("ancestor"))
+        # One write per round holds both results, in a folder each.
+        state = better.withColumn("kind", F.lit("best")).unionByName(
+            further.distinct().withColumn("kind", F.lit("jump")), allowMissingColumns=True
+        )
+        state = materialise(state, "lineage", ("kind",))
+        best = state.filter(F.col("kind") == "best").select("ancestor", "run", "depth")
+        jumps = state.filter(F.col("kind") == "jump").select("node", "ancestor")
         pairs = jumps.count()
         reach *= 2
     return best.select(F.col("ancestor").alias("FROM_RUN"), F.col("run").alias("RUN_NO"), "depth")
