@@ -226,7 +226,7 @@ def string_funcs(spark: SparkSession, folder: str) -> DataFrame:
 def date_funcs(spark: SparkSession, folder: str) -> DataFrame:
     day, placed = F.to_date("o_orderdate"), F.col("placed")
     orders = load(spark, folder, "orders").withColumn(
-        "placed", F.col("o_orderdate") + views.seconds(F.col("o_totalprice"))
+        "placed", views.created()
     )
     quarter = F.concat(F.lit("Q"), F.quarter(day).cast("string"))
     return orders.select(

@@ -53,10 +53,9 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def seconds(column: Column) -> Column:
-    """Whole seconds as an interval."""
-    whole = F.floor(column).cast("decimal(18,6)")
-    return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), whole)
+def later(ts: str, seconds: str) -> Column:
+    """Timestamp moved on by the whole seconds of a number."""
+    return F.timestamp_add("SECOND", F.floor(seconds), F.col(ts))
 
 
 def run_no(key: str) -> Column:
@@ -82,7 +81,7 @@ def lot_type(document: str) -> Column:
 
 
 def created() -> Column:
-    return F.col("o_orderdate") + seconds(F.col("o_totalprice"))
+    return later("o_orderdate", "o_totalprice")
 
 
 def cards(spark: SparkSession, folder: str) -> DataFrame:
@@ -126,7 +125,7 @@ def moves(spark: SparkSession, folder: str) -> DataFrame:
     quantity = F.col("l_quantity")
     lost = quantity * F.col("l_discount")
     rejected = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O")
-    shipped = F.col("l_shipdate") + seconds(F.col("l_extendedprice"))
+    shipped = later("l_shipdate", "l_extendedprice")
     return (
         load(spark, folder, "lineitem")
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -218,7 +217,7 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
         quantity.alias("INPUT"),
         (quantity - 1).alias("OUTPUT"),
         F.lit(1).alias("SCRAP"),
-        (F.col("l_shipdate") + seconds(F.col("l_extendedprice"))).alias("TRANSFER_DATE"),
+        (later("l_shipdate", "l_extendedprice")).alias("TRANSFER_DATE"),
         F.when(flag == "R", "N").otherwise("Y").alias("WIP_ALREADY"),
         F.when(F.col("l_tax") < 0.06, "Y").otherwise("N").alias("ACCEPT_ALREADY"),
         F.when(flag == "A", 2).alias("OQA_SAMPLE"),

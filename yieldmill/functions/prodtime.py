@@ -69,19 +69,17 @@ def production_start(ts: Column | str, gap: str = "drop") -> Column:
     Times between 07:00:00 and 07:00:01 lie in no closed window.  ``gap="drop"``
     gives NULL for them, ``gap="next"`` counts them to the day that starts.
     """
+    if gap not in ("drop", "next"):
+        raise ValueError(f"gap must be 'drop' or 'next', not {gap!r}")
     column = F.col(ts) if isinstance(ts, str) else ts
     column = column.cast("timestamp_ntz")
-    since_change = column - F.expr("INTERVAL '07:00:00' HOUR TO SECOND")
-    midnight = F.to_date(since_change).cast("timestamp_ntz")
-    in_gap = (since_change > midnight) & (
-        since_change < midnight + F.expr("INTERVAL '1' SECOND")
-    )
-    day = F.when(since_change == midnight, F.date_sub(midnight, 1)).otherwise(F.to_date(midnight))
+    offset = F.expr("INTERVAL '07:00:01' HOUR TO SECOND")
+    start = F.to_date(column - offset).cast("timestamp_ntz") + offset
+    # The window is closed one second before the next one starts.
+    inside = column <= start + F.expr("INTERVAL '23:59:59' HOUR TO SECOND")
     if gap == "drop":
-        day = F.when(~in_gap, day)
-    elif gap != "next":
-        raise ValueError(f"gap must be 'drop' or 'next', not {gap!r}")
-    return day.cast("timestamp_ntz") + F.expr("INTERVAL '07:00:01' HOUR TO SECOND")
+        return F.when(inside, start)
+    return F.when(inside | column.isNull(), start).otherwise(start + F.expr("INTERVAL '1' DAY"))
 
 
 def production_date(ts: Column | str) -> Column:

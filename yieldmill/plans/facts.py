@@ -298,9 +298,7 @@ def fact_runcard(
     def own(dim: DataFrame) -> DataFrame:
         return dim.filter(F.col("PLANT") == plant)
 
-    rows = moves.filter(F.col("DATE_BEGIN").isNotNull()).withColumn(
-        "_day", F.to_date("DATE_BEGIN")
-    )
+    rows = moves.withColumn("_day", F.to_date("DATE_BEGIN"))
     rows = lookup_key(rows, dates, {"_day": "DATE_BEGIN"}, ["DATE_KEY"])
     rows = lookup_key(rows, own(lines), {"JIT_CELL_NO": "LINE_NO"}, ["LINE_NO_KEY"])
     rows = lookup_key(
