@@ -202,9 +202,18 @@ def telemetry_staging_table(lake: Lake, name: str = "STAGING_DTC_TRANSACTION") -
     The second partition column holds the collection day, or the day of arrival
     for the table that feeds the incremental fact.
     """
+    return _telemetry_table(lake, "staging", name)
+
+
+def telemetry_landing_table(lake: Lake, name: str = "STAGING_DTC_TRANSACTION") -> Table:
+    """Where a stream lands telemetry of a staging table that batches also write."""
+    return _telemetry_table(lake, "landing", name)
+
+
+def _telemetry_table(lake: Lake, layer: str, name: str) -> Table:
     day = "CREATE_DATE" if name.endswith("_REDIS") else "COLLECTED_DAY"
     schema = with_audit_columns(ddl(TELEMETRY_STAGING)).add(day, T.DateType())
-    return lake.table("staging", name, schema, ("MACHINENAME", day))
+    return lake.table(layer, name, schema, ("MACHINENAME", day))
 
 
 def master_table(lake: Lake, name: str) -> Table:
@@ -229,6 +238,7 @@ def all_tables(lake: Lake) -> list[Table]:
     """Every table of the lakehouse, for creation and for the reset."""
     return [
         *[staging_table(lake, name) for name in SOURCE_COLUMNS],
+        telemetry_landing_table(lake),
         telemetry_staging_table(lake),
         telemetry_staging_table(lake, "STAGING_DTC_TRANSACTION_REDIS"),
         telemetry_staging_table(lake, "STAGING_DTC_TRANSACTION_TEST"),

@@ -55,11 +55,19 @@ def extract_events(lines: DataFrame, zone: str | None = None) -> DataFrame:
 
 
 def audited_events(
-    events: DataFrame, session: str, batch: Batch, source: Column | None = None
+    events: DataFrame,
+    session: str,
+    batch: Batch,
+    source: Column | None = None,
+    arrival: Column | None = None,
 ) -> DataFrame:
-    """Staged telemetry with audit columns; the source is the machine unless given."""
+    """Staged telemetry with audit columns; the source is the machine unless given.
+
+    A stream passes the time of its micro-batch as ``arrival``: the incremental
+    fact reads by it.
+    """
     machine = machine_code("MACHINENAME") if source is None else source
-    return with_audit(events, machine, f"staging_{session}", batch)
+    return with_audit(events, machine, f"staging_{session}", batch, created=arrival)
 
 
 def control_limits(raw: DataFrame) -> DataFrame:

@@ -9,10 +9,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yieldmill.functions.prodtime import production_window, span_window
+from yieldmill.functions.prodtime import incremental, production_window, shift_zone, span_window
 from yieldmill.operators import loads
 from yieldmill.operators.audit import Batch, current_batch, next_batch, scalar_max, with_audit
 from yieldmill.plans import dims, facts, marts, schemas, staging, telemetry
@@ -271,27 +271,52 @@ class Warehouse:
         archive_dir: str | None = None,
         shadow: bool = False,
     ):
-        """Stream log lines into staging, or into its shadow table for a trial."""
-        table = schemas.telemetry_staging_table(self.lake, COLLECTED + ("_TEST" if shadow else ""))
+        """Stream log lines into the landing table, or into the shadow table for a trial.
+
+        Files of a stream are listed in the log of its sink, so no batch may write
+        beside it; ``settle_logs`` brings landed rows into staging.
+        """
+        if shadow:
+            table = schemas.telemetry_staging_table(self.lake, COLLECTED + "_TEST")
+        else:
+            table = schemas.telemetry_landing_table(self.lake, COLLECTED)
         lines = stream_text(self.spark, path, archive_dir)
         events = telemetry.extract_events(lines.select("value"), zone)
-        return stream_append(self._audited(events, table, batch), table, checkpoint, every)
+        arrival = shift_zone(F.current_timestamp(), zone)
+        rows = self._audited(events, table, batch, arrival)
+        return stream_append(rows, table, checkpoint, every)
+
+    def settle_logs(self, as_of: datetime) -> None:
+        """Append what landed since the last time to staging, where reruns can replace it."""
+        landed = schemas.telemetry_landing_table(self.lake, COLLECTED).read(self.spark)
+        table = schemas.telemetry_staging_table(self.lake, COLLECTED)
+        streamed = F.col("INF_SESS_NAME") == f"staging_{COLLECTED}"
+        after = scalar_max(table.read(self.spark), "DM_CREATED_DATE", streamed)
+        loads.append(table, landed.filter(incremental("DM_CREATED_DATE", after, as_of)))
 
     def stream_messages(
-        self, path: str, checkpoint: str, batch: Batch, every: str | None = None
+        self,
+        path: str,
+        checkpoint: str,
+        batch: Batch,
+        zone: str | None = None,
+        every: str | None = None,
     ):
         """Stream JSON messages into the staging table that feeds the incremental fact."""
         table = schemas.telemetry_staging_table(self.lake, ARRIVALS)
         messages = stream_json(self.spark, path, schemas.TELEMETRY_MESSAGE)
         events = telemetry.explode_values(messages)
-        return stream_append(self._audited(events, table, batch), table, checkpoint, every)
+        arrival = shift_zone(F.current_timestamp(), zone)
+        rows = self._audited(events, table, batch, arrival)
+        return stream_append(rows, table, checkpoint, every)
 
     def stage_logs(
         self, lines: DataFrame, batch: Batch, machine: str | None = None, day: date | None = None
     ) -> loads.LoadReport | None:
         """Load log lines as a batch; with machine and day replace what they hold."""
         table = schemas.telemetry_staging_table(self.lake, COLLECTED)
-        rows = self._audited(telemetry.extract_events(lines.select("value")), table, batch)
+        events = telemetry.extract_events(lines.select("value"))
+        rows = self._audited(events, table, batch, session=f"{COLLECTED}_ADHOC")
         if machine is None and day is None:
             loads.append(table, rows)
             return None
@@ -323,13 +348,20 @@ class Warehouse:
         return loads.replace_values(self._events_table(False), rows, values)
 
     def load_spc_mart(
-        self, day: date, shadow: bool = False, limits_from_master: bool = False
+        self,
+        day: date,
+        machine: str | None = None,
+        shadow: bool = False,
+        limits_from_master: bool = False,
     ) -> loads.LoadReport:
-        """Replace a day of the process-control mart."""
-        fact = self._events_table(shadow).read(self.spark).filter(F.col("Date") == F.lit(day))
+        """Replace a day of the process-control mart, of one machine or of all."""
+        values = {"Date": day} if machine is None else {"MachineNo": machine, "Date": day}
+        fact = self._events_table(shadow).read(self.spark)
+        for name, value in values.items():
+            fact = fact.filter(F.col(name) == F.lit(value))
         mart = marts.mart_spc(fact, self.master("DATA_CON_PARAM_SPEC"), limits_from_master)
         table = schemas.mart_table(self.lake, "DATA_CON_TRANSACTION")
-        return loads.replace_values(table, mart, {"Date": day})
+        return loads.replace_values(table, mart, values)
 
     # --- helpers --------------------------------------------------------------------
 
@@ -356,8 +388,15 @@ class Warehouse:
         )
 
     @staticmethod
-    def _audited(events: DataFrame, table: Table, batch: Batch) -> DataFrame:
-        rows = telemetry.audited_events(events, table.path.rsplit("/", 1)[-1], batch)
+    def _audited(
+        events: DataFrame,
+        table: Table,
+        batch: Batch,
+        arrival: Column | None = None,
+        session: str | None = None,
+    ) -> DataFrame:
+        session = session or table.path.rsplit("/", 1)[-1]
+        rows = telemetry.audited_events(events, session, batch, arrival=arrival)
         days = {
             "COLLECTED_DAY": F.to_date("COLLECTEDDATE"),
             "CREATE_DATE": F.to_date("DM_CREATED_DATE"),
