@@ -1,6 +1,7 @@
 from datetime import date, datetime
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from conftest import values
@@ -53,7 +54,7 @@ def test_replace_is_repeatable_and_leaves_the_rest(spark, lake, by):
     made = table(spark, lake, *by)
     before = content(spark, made)
     assert set(before) == {1, 2, 3, 4, 5}
-    new = rows(spark, (6, "b b/=%", "2024-01-02", "new"), (7, "c", "2024-01-03", "new"))
+    new = rows(spark, (6, "b b/=%", "2024-01-02", "new"), (7, "b b/=%", "2024-01-02", "new"))
     values_ = {"machine": "b b/=%", "day": date(2024, 1, 2)}
     first = loads.replace_values(made, new, values_)
     assert (first.deleted, first.inserted) == (1, 2)
@@ -61,8 +62,16 @@ def test_replace_is_repeatable_and_leaves_the_rest(spark, lake, by):
     assert {k: after.pop(k)[2] for k in (6, 7)} == {6: "new", 7: "new"}
     assert after == {k: v for k, v in before.items() if k != 3}
     repeated = loads.replace_values(made, new.filter("id = 6"), values_)
-    assert (repeated.deleted, repeated.inserted) == (1, 1)
-    assert made.read(spark).count() == 6
+    assert (repeated.deleted, repeated.inserted) == (2, 1)
+    assert made.read(spark).count() == 5
+    # New rows of a free predicate may go anywhere; those of given values may not.
+    other = rows(spark, (8, "c", "2024-01-03", "new"))
+    report = loads.replace_where(made, other, F.col("id") == 6)
+    assert (report.deleted, report.inserted) == (1, 1)
+    assert set(content(spark, made)) == {1, 2, 4, 5, 8}
+    with pytest.raises(PySparkException, match="other values"):
+        loads.replace_values(made, other, values_)
+    assert set(content(spark, made)) == {1, 2, 4, 5, 8}
 
 
 @pytest.mark.parametrize("by", PARTITIONS)

@@ -15,6 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from yieldmill.functions.prodtime import in_window, until
 from yieldmill.session import materialise
@@ -102,84 +103,116 @@ def replace_by_keys(table: Table, df: DataFrame, keys: DataFrame, on: Sequence[s
     """Replace the rows whose key occurs in ``keys``."""
     target = table.read(df.sparkSession)
     keys = materialise(keys.select(*on).distinct(), "keys")
-    # Where a key is a partition column, only its partitions are searched.
-    parts = [name for name in on if name in table.partition_by]
+    found = target
+    for name in on:
+        # Where a key is a partition column, only its partitions are searched.
+        if name in table.partition_by:
+            low, high = keys.agg(F.min(name), F.max(name)).first()
+            found = found.filter(F.col(name).between(F.lit(low), F.lit(high)))
     return _replace(
         table,
         df,
-        _prune(target, keys, parts).join(keys, list(on), "left_semi"),
+        found.join(keys, list(on), "left_semi"),
         target.join(keys, list(on), "left_anti"),
     )
 
 
-def replace_values(table: Table, df: DataFrame, values: dict[str, object]) -> LoadReport:
-    """Replace the rows that have the given column values, such as machine and day."""
+def replace_values(
+    table: Table, df: DataFrame, values: dict[str, object], reads_table: bool = True
+) -> LoadReport:
+    """Replace the rows that have the given column values, such as machine and day.
+
+    All rows of ``df`` must have these values too; one that has not ends the job.
+    Where the values name all partition columns, the rows are one folder, which is
+    written directly; ``reads_table`` says whether ``df`` may read the table, and so
+    has to be written elsewhere first.
+    """
     where = reduce(
         lambda left, right: left & right,
         [F.col(name) == F.lit(value) for name, value in values.items()],
     )
-    return replace_where(table, df, where)
+    alien = F.raise_error(F.lit(f"a row has other values than {values}")).cast("boolean")
+    df = df.filter(F.when(where, F.lit(True)).otherwise(alien))
+    if set(values) != set(table.partition_by) or None in values.values():
+        return replace_where(table, df, where)
+    spark = df.sparkSession
+    # The schema of the rows gives the folder names the form that Spark writes.
+    typed = [F.lit(values[name]).cast(table.schema[name].dataType) for name in table.partition_by]
+    row = spark.range(1).select(*[value.cast("string") for value in typed]).first()
+    folder = "/".join(_folder(name, text) for name, text in zip(table.partition_by, row))
+    rows = _typed(table, df)
+    if reads_table:
+        rows = materialise(rows, "incoming")
+    deleted = table.read(spark).filter(where).count()
+    rows.drop(*table.partition_by).write.mode("overwrite").parquet(f"{table.path}/{folder}")
+    return LoadReport(deleted, table.read(spark).filter(where).count())
 
 
 def _replace(table: Table, df: DataFrame, gone: DataFrame, kept: DataFrame) -> LoadReport:
     """Write the new content of the partitions that ``gone`` and ``df`` touch."""
     spark = df.sparkSession
-    incoming = materialise(df.select(*table.columns), "incoming")
-    if not table.partition_by:
+    incoming = materialise(_typed(table, df), "incoming")
+    cols = list(table.partition_by)
+    if not cols:
         deleted = gone.count()
         load_full(table, materialise(kept.unionByName(incoming), "rewritten"))
         return LoadReport(deleted, incoming.count())
 
-    cols = list(table.partition_by)
-    # One row per touched partition.
-    counts = materialise(gone.groupBy(*cols).agg(F.count(F.lit(1)).alias("_rows")), "touched")
-    deleted = counts.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
-    touched = counts.select(*cols).union(incoming.select(*cols)).distinct()
-    nearby = _prune(kept, touched, cols)
+    def sizes(rows: DataFrame, gone_rows: int, new_rows: int) -> DataFrame:
+        one = {"_gone": F.lit(gone_rows), "_new": F.lit(new_rows)}
+        return rows.select(*cols).withColumns(one)
+
+    # One row per touched partition, which is also what a dynamic overwrite lists.
+    both = sizes(gone, 1, 0).unionByName(sizes(incoming, 0, 1))
+    listed = both.groupBy(*cols).agg(F.sum("_gone"), F.sum("_new")).collect()
+    report = LoadReport(sum(row[-2] for row in listed), sum(row[-1] for row in listed))
+    if not listed:
+        return report
+    parts = [tuple(row[: len(cols)]) for row in listed]
+    part_schema = T.StructType([table.schema[name] for name in cols])
+    touched = spark.createDataFrame(parts, part_schema)
+    nearby = kept
+    for place, name in enumerate(cols):
+        nearby = nearby.filter(_among(name, [part[place] for part in parts]))
     same = reduce(
         lambda left, right: left & right, [nearby[name].eqNullSafe(touched[name]) for name in cols]
     )
-    survivors = nearby.join(touched, same, "left_semi")
-    content = materialise(survivors.unionByName(incoming), "rewritten")
+    content = nearby.join(touched, same, "left_semi").unionByName(incoming)
+    content = materialise(content, "rewritten")
     _write(table, content, "overwrite", dynamic=True)
     # A partition without new content is not part of the overwrite; empty it.
-    same = reduce(
-        lambda left, right: left & right, [counts[name].eqNullSafe(content[name]) for name in cols]
-    )
-    emptied = counts.join(content.select(*cols).distinct(), same, "left_anti")
-    # Driver loop over partitions that lost all rows: one folder name each.
-    for row in emptied.select(*[F.col(name).cast("string") for name in cols]).toLocalIterator():
-        folder = "/".join(_folder(name, row[name]) for name in cols)
-        empty = spark.createDataFrame([], table.schema).drop(*cols)
-        empty.write.mode("overwrite").parquet(f"{table.path}/{folder}")
-    return LoadReport(deleted, incoming.count())
+    texts = [F.col(name).cast("string") for name in cols]
+    filled = {tuple(row) for row in content.select(*texts).distinct().collect()}
+    empty = spark.createDataFrame([], table.schema).drop(*cols)
+    for row in touched.select(*texts).collect():
+        if tuple(row) not in filled:
+            folder = "/".join(_folder(name, text) for name, text in zip(cols, row))
+            empty.write.mode("overwrite").parquet(f"{table.path}/{folder}")
+    return report
 
 
-def _prune(df: DataFrame, touched: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Limit ``df`` to the touched values of each partition column, as literals.
+def _among(name: str, values: Sequence[object]) -> Column:
+    """Filter on a partition column by literals, which prune folders when planning.
 
-    Literals prune folders when the plan is made.  ``touched`` has one row per
-    partition; above the list limit a range stands in for the list, and the join
-    that follows is exact in both cases.
+    Above the list limit a range stands in for the list; the join that follows is
+    exact in both cases.
     """
-    for name in cols:
-        low, high, count, nulls = touched.agg(
-            F.min(name), F.max(name), F.count_distinct(name), F.bool_or(F.col(name).isNull())
-        ).first()
-        column = F.col(name)
-        if count == 0:
-            keep = F.lit(False)
-        elif count <= LISTED_VALUES:
-            rows = touched.select(name).filter(column.isNotNull()).distinct().collect()
-            keep = column.isin([row[0] for row in rows])
-        else:
-            keep = column.between(F.lit(low), F.lit(high))
-        df = df.filter(keep | column.isNull() if nulls else keep)
-    return df
+    column, known = F.col(name), {value for value in values if value is not None}
+    if not known:
+        keep = F.lit(False)
+    elif len(known) <= LISTED_VALUES:
+        keep = column.isin(list(known))
+    else:
+        keep = column.between(F.lit(min(known)), F.lit(max(known)))
+    return keep | column.isNull() if None in values else keep
+
+
+def _typed(table: Table, df: DataFrame) -> DataFrame:
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in table.schema.fields])
 
 
 def _write(table: Table, df: DataFrame, mode: str, dynamic: bool = False) -> None:
-    rows = df.select(*[F.col(f.name).cast(f.dataType) for f in table.schema.fields])
+    rows = _typed(table, df)
     if table.partition_by:
         # One file per partition where it is small, several where it is large: the
         # adaptive plan splits a hot partition instead of giving it to one task.

@@ -36,7 +36,8 @@ def stage_full(table: Table, source: DataFrame, name: str, plant: str, batch: Ba
     """Full refresh of one plant; run cards only up to the last 07:00."""
     if name in WITH_CUT_OFF:
         source = source.filter(until(WITH_CUT_OFF[name], batch.as_of.date()))
-    return replace_values(table, staged(source, name, plant, batch), {"PLANT": plant})
+    rows = staged(source, name, plant, batch)
+    return replace_values(table, rows, {"PLANT": plant}, reads_table=False)
 
 
 def stage_day(table: Table, source: DataFrame, name: str, plant: str, batch: Batch) -> LoadReport:
@@ -47,6 +48,7 @@ def stage_day(table: Table, source: DataFrame, name: str, plant: str, batch: Bat
         table,
         staged(rows, name, plant, batch),
         {"PLANT": plant, "INF_BATCH_ID": batch.batch_id},
+        reads_table=False,
     )
 
 

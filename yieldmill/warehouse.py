@@ -345,7 +345,7 @@ class Warehouse:
             ignore_case=machine is None,
         )
         values = {"Date": day} if machine is None else {"MachineNo": machine, "Date": day}
-        return loads.replace_values(self._events_table(False), rows, values)
+        return loads.replace_values(self._events_table(False), rows, values, reads_table=False)
 
     def load_spc_mart(
         self,
@@ -361,7 +361,7 @@ class Warehouse:
             fact = fact.filter(F.col(name) == F.lit(value))
         mart = marts.mart_spc(fact, self.master("DATA_CON_PARAM_SPEC"), limits_from_master)
         table = schemas.mart_table(self.lake, "DATA_CON_TRANSACTION")
-        return loads.replace_values(table, mart, values)
+        return loads.replace_values(table, mart, values, reads_table=False)
 
     # --- helpers --------------------------------------------------------------------
 
