@@ -61,3 +61,14 @@ def materialise(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -
     path = scratch_path(df.sparkSession, label)
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> bool:
+    """Delete what this application left in the shared folder; False when there is nothing.
+
+    Frames that ``materialise`` returned can no longer be read afterwards.
+    """
+    jvm = spark.sparkContext._jvm
+    folder = f"{shared_folder(spark)}/yieldmill/{spark.sparkContext.applicationId}"
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
