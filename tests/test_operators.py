@@ -133,6 +133,9 @@ def test_not_in(spark, listed, kept):
     assert Counter(got) == Counter(kept)
     df.createOrReplaceTempView("left_rows")
     values_df.createOrReplaceTempView("listed_rows")
+    flagged = joins.with_not_in(df, "x", values_df, "keep")
+    assert flagged.count() == 3
+    assert Counter(row.x for row in flagged.filter("keep").collect()) == Counter(kept)
     sql = "SELECT x FROM left_rows WHERE x NOT IN (SELECT y FROM listed_rows)"
     assert Counter(got) == Counter(row[0] for row in spark.sql(sql).collect())
 

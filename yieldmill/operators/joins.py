@@ -42,13 +42,26 @@ def not_in(df: DataFrame, column: str, values: DataFrame) -> DataFrame:
     on distinct values plus a one-row check for NULL.  The distinct values are
     written once, because both need them.
     """
-    name = values.columns[0]
-    listed = materialise(values.select(F.col(name).alias("_value")).distinct(), "listed")
-    holds_null = listed.agg(F.bool_or(F.col("_value").isNull())).scalar()
+    listed, holds_null = _listed(values)
     open_rows = df.filter(holds_null.isNull() | (~holds_null & F.col(column).isNotNull()))
     return open_rows.join(listed, F.col(column) == F.col("_value"), "left_anti")
 
 
+def with_not_in(df: DataFrame, column: str, values: DataFrame, name: str) -> DataFrame:
+    """All rows, with ``name`` true where ``not_in`` would keep the row."""
+    listed, holds_null = _listed(values)
+    rows = df.join(listed, F.col(column) == F.col("_value"), "left")
+    unlisted = F.col(column).isNotNull() & F.col("_value").isNull()
+    return rows.withColumn(name, holds_null.isNull() | (~holds_null & unlisted)).drop("_value")
+
+
+def _listed(values: DataFrame) -> tuple[DataFrame, Column]:
+    """Distinct values, and whether a NULL is among them (NULL for an empty list)."""
+    name = values.columns[0]
+    listed = materialise(values.select(F.col(name).alias("_value")).distinct(), "listed")
+    return listed, listed.agg(F.bool_or(F.col("_value").isNull())).scalar()
+
+
 def in_pairs(df: DataFrame, on: Mapping[str, str], pairs: DataFrame) -> DataFrame:
     """Rows whose tuple of columns occurs in ``pairs``."""
     listed = pairs.select(*[F.col(theirs).alias(f"_p_{ours}") for ours, theirs in on.items()])

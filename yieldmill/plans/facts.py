@@ -4,13 +4,20 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yieldmill.functions.exprs import or_zero, valid_move
 from yieldmill.functions.prodtime import in_window, production_start
 from yieldmill.operators.audit import Batch, with_audit
-from yieldmill.operators.joins import in_pairs, lookup_key, not_in, union_all, with_group_max
+from yieldmill.operators.joins import (
+    in_pairs,
+    lookup_key,
+    not_in,
+    union_all,
+    with_group_max,
+    with_not_in,
+)
 from yieldmill.plans.dims import ACTIVE, GROUP_SEQUENCE, group_codes
 
 # Codes of documents and start operations.
@@ -64,27 +71,39 @@ def start_operations(start_ops: DataFrame, docs: DataFrame, as_of: date) -> Data
     return rows.select("OPERATION_NO").distinct()
 
 
+def _material_doc() -> Column:
+    """Documents of material and die lots."""
+    return (
+        F.col("LAT_LOT_TYPE").isin(MATERIAL_LOTS)
+        & (F.col("EERNO") != DUMMY_DOCUMENT)
+        & (F.col("MATERIAL_TYPE") == WIP_MATERIAL)
+    )
+
+
 def _documented(cards: DataFrame, docs: DataFrame) -> DataFrame:
-    """Run cards with the lot type of their document.
+    """Run cards with the lot type of their document, and whether one is of material.
 
-    Only distinct rows matter to the callers that use this, so repeated cards and
-    documents are removed before they can multiply.
+    Only distinct rows matter to the callers, so repeated cards and documents are
+    removed before they can multiply.
     """
     card = cards.select(
         "RUN_NO", "PRODUCT_PART_NO", "EER_NO", "JIT_CELL_NO", "MPT_PRODUCT_PART_NO"
     ).distinct()
-    doc = docs.select(
-        "PRODUCT_PART_NO",
-        F.col("EERNO").alias("EER_NO"),
-        "JIT_CELL_NO",
-        "LAT_LOT_TYPE",
-    ).distinct()
+    doc = docs.groupBy(
+        "PRODUCT_PART_NO", F.col("EERNO").alias("EER_NO"), "JIT_CELL_NO", "LAT_LOT_TYPE"
+    ).agg(F.bool_or(F.coalesce(_material_doc(), F.lit(False))).alias("_material"))
     return card.join(doc, ["PRODUCT_PART_NO", "EER_NO", "JIT_CELL_NO"])
 
 
 def _moves(
-    wip: DataFrame, cards: DataFrame, docs: DataFrame, window: tuple[datetime, datetime]
+    wip: DataFrame,
+    cards: DataFrame,
+    docs: DataFrame,
+    window: tuple[datetime, datetime],
+    keep: Column,
 ) -> DataFrame:
+    """Valid moves of documented run cards for which ``keep`` holds."""
+    flags = [name for name in wip.columns if name == "_ordinary"]
     moves = wip.filter(in_window("TRANSFER_DATE", window) & valid_move()).select(
         "RUN_NO",
         "PRODUCT_PART_NO",
@@ -96,8 +115,9 @@ def _moves(
         "TRANSFER_DATE",
         "DATE_IN",
         "DATE_OUT",
+        *flags,
     )
-    joined = moves.join(_documented(cards, docs), ["RUN_NO", "PRODUCT_PART_NO"])
+    joined = moves.join(_documented(cards, docs), ["RUN_NO", "PRODUCT_PART_NO"]).filter(keep)
     return joined.withColumns(
         {
             "DATE_BEGIN": production_start("TRANSFER_DATE"),
@@ -121,22 +141,32 @@ def wip_moves(
     The output is the input less the scrap.
     """
     ordinary = not_in(wip, "OPERATION_NO", start_operations(start_ops, docs, as_of))
-    return _moves(ordinary, cards, docs, window).distinct()
+    return _moves(ordinary, cards, docs, window, F.lit(True)).distinct()
 
 
 def material_moves(
     wip: DataFrame, cards: DataFrame, docs: DataFrame, window: tuple[datetime, datetime]
 ) -> DataFrame:
-    """Valid moves of material and die lots.
+    """Distinct valid moves of material and die lots."""
+    return _moves(wip, cards, docs, window, F.col("_material")).distinct()
 
-    Meant for a union that removes equal rows, so they are removed here as well.
+
+def wip_or_material_moves(
+    wip: DataFrame,
+    cards: DataFrame,
+    docs: DataFrame,
+    start_ops: DataFrame,
+    window: tuple[datetime, datetime],
+    as_of: date,
+) -> DataFrame:
+    """Rows of ``wip_moves`` and of ``material_moves`` in one pass, not yet distinct.
+
+    Both branches have the same columns, so their union without repeats is one join
+    with either condition.
     """
-    material = docs.filter(
-        F.col("LAT_LOT_TYPE").isin(MATERIAL_LOTS)
-        & (F.col("EERNO") != DUMMY_DOCUMENT)
-        & (F.col("MATERIAL_TYPE") == WIP_MATERIAL)
-    )
-    return _moves(wip, cards, material, window).distinct()
+    listed = start_operations(start_ops, docs, as_of)
+    flagged = with_not_in(wip, "OPERATION_NO", listed, "_ordinary")
+    return _moves(flagged, cards, docs, window, F.col("_ordinary") | F.col("_material"))
 
 
 def trans_totals(
@@ -270,12 +300,13 @@ def all_moves(
     as_of: date,
     material: bool = False,
 ) -> DataFrame:
-    """Union of the branches; with the material branch equal rows are removed."""
-    branches = [wip_moves(wip, cards, docs, start_ops, window, as_of)]
+    """Moves and transactions; with the material branch equal rows are removed at the end."""
+    trans_rows = trans_moves(trans, cards, docs, wip, operations, start_ops, window)
     if material:
-        branches.append(material_moves(wip, cards, docs, window))
-    branches.append(trans_moves(trans, cards, docs, wip, operations, start_ops, window))
-    return union_all(branches, distinct=material)
+        rows = wip_or_material_moves(wip, cards, docs, start_ops, window, as_of)
+        return union_all([rows, trans_rows], distinct=True)
+    rows = wip_moves(wip, cards, docs, start_ops, window, as_of)
+    return union_all([rows, trans_rows])
 
 
 def fact_runcard(
