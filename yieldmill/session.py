@@ -19,6 +19,10 @@ SETTINGS = {
 }
 
 
+# Temporary folders of local sessions without the setting, by application.
+LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def build_session(app: str = "yieldmill", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the operators expect; ``conf`` wins over them."""
     builder = SparkSession.builder.appName(app)
@@ -36,12 +40,15 @@ def shared_folder(spark: SparkSession) -> str:
     folder.  On a cluster a missing setting is an error, because a folder on one
     machine would be lost with it.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="yieldmill-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        app = context.applicationId
+        if app not in LOCAL_FOLDERS:
+            LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="yieldmill-")
+        folder = LOCAL_FOLDERS[app]
     return folder.rstrip("/")
 
 
