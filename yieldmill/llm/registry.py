@@ -1,0 +1,24 @@
+"""Registry of this subpackage's queries and of the SQL each is compared with."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, Query] = {}
+ORACLE: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a query under its function name, with the SQL for the same result."""
+
+    def add(function: Query) -> Query:
+        QUERIES[function.__name__] = function
+        if sql is not None:
+            ORACLE[function.__name__] = sql
+        return function
+
+    return add
