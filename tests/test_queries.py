@@ -21,7 +21,10 @@ COMPARED = [
 
 
 def test_contract(spark):
-    assert set(ORACLE) == set(QUERIES)
+    from shopfloor import catalogue
+
+    assert set(catalogue.ORACLE) == set(catalogue.QUERIES)
+    assert set(catalogue.QUERIES) <= set(QUERIES) and set(ORACLE) <= set(QUERIES)
     df = contract.entry(spark)
     assert df.columns[0] == "MachineNo" and df.count() > 0
 
