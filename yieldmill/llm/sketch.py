@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 CHUNK_BITS = 16
 CHUNK = 1 << CHUNK_BITS
 MOST_BITS = 1 << 30  # 128 MB
-PENDING = 4 << 20  # keys a task gathers before it sums them
+PENDING = 1 << 20  # keys a task gathers before it sums them
 
 
 def counters_for(keys: float, per_key: float, code_bits: int = 1) -> int:

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def mix(h: np.ndarray) -> np.ndarray:
