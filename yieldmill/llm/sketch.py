@@ -134,7 +134,7 @@ def merged(
     codes = parts.repartition(tasks, "chunk").mapInArrow(add, "chunk long, codes binary")
     out = np.zeros(counters * code_bits // 8, np.uint8)
     size = CHUNK * code_bits // 8
-    for chunk, packed in codes.toLocalIterator(prefetchPartitions=False):
+    for chunk, packed in codes.collect():  # as large as ``out``, so within the bound
         out[chunk * size : (chunk + 1) * size] = np.frombuffer(packed, np.uint8)
     return out
 
