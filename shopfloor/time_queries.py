@@ -107,7 +107,6 @@ def high_watermark(spark: SparkSession, folder: str) -> DataFrame:
            WHERE DM_CREATED_DATE > (SELECT max(DM_CREATED_DATE) FROM telemetry
                                     WHERE CREATE_DATE <= DATE '2024-01-28')
              AND DM_CREATED_DATE <= TIMESTAMP '2024-01-29 18:34:00'
-             AND CREATE_DATE >= DATE '2024-01-28'
            UNION ALL
            SELECT 'first ' || REC_ID, MACHINENAME, DM_CREATED_DATE FROM telemetry
            WHERE DM_CREATED_DATE <= TIMESTAMP '2024-01-29 18:34:00'""",

@@ -89,8 +89,10 @@ ALL_VIEWS = MOVE_VIEWS + " transactions operations"
 
 
 def move_frames(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The frames of the move facts, each computed once: the facts read them several times."""
     return {
-        name: getattr(views, name)(spark, folder) for name in ("cards", "docs", "moves", "start_ops")
+        name: materialise(getattr(views, name)(spark, folder), name)
+        for name in ("cards", "docs", "moves", "start_ops")
     }
 
 
@@ -276,7 +278,7 @@ FACT_EXTRA = {
 
 def runcard_fact(spark: SparkSession, folder: str) -> DataFrame:
     return facts.fact_runcard(
-        all_moves(spark, folder, material=False),
+        materialise(all_moves(spark, folder, material=False), "all-moves"),
         date_dim(spark, folder),
         views.line_dim(spark, folder),
         views.product_dim(spark, folder),
@@ -312,7 +314,7 @@ STAR_SQL = """
 def star(spark: SparkSession, folder: str) -> tuple[DataFrame, ...]:
     """The fact and the four dimensions of the yield mart."""
     return (
-        runcard_fact(spark, folder),
+        materialise(runcard_fact(spark, folder), "fact"),
         routing_dim(spark, folder),
         views.product_dim(spark, folder),
         views.line_dim(spark, folder),

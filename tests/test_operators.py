@@ -300,3 +300,13 @@ def test_audit_columns_and_counts(spark, tmp_path):
     assert seen.get == {"rows": 5}
     random_ids = audit.with_audit(df, "src", "sess", batch).select("REC_ID").distinct()
     assert random_ids.count() == 5
+
+
+def test_keys_stop_at_the_next_range(spark):
+    target = spark.createDataFrame([(299_999_999,)], "K int")
+    new = spark.createDataFrame([("a",), ("b",)], "name string")
+    one = keys.assign_keys(new.limit(1), target, "K", ["name"], keys.KEY_BASE["WA"])
+    assert [row["K"] for row in one.collect()] == [300_000_000]
+    two = keys.assign_keys(new, target, "K", ["name"], keys.KEY_BASE["WA"])
+    with pytest.raises(Exception, match="next range"):
+        two.collect()

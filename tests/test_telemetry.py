@@ -1,10 +1,12 @@
 import json
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import values
 from yieldmill import streaming
+from yieldmill.operators import loads
 from yieldmill.operators.audit import Batch
 from yieldmill.plans import marts, schemas, telemetry
 from yieldmill.sources.lake import Lake
@@ -169,3 +171,58 @@ def test_two_raw_names_with_one_label(spark):
     # The two spellings of one limit agree in all values and fall together.
     assert got == [("BondForceFloat", "2.00"), ("BondForceFloat", "7.00")]
     assert marts.mart_spc(fact, limits, limits_from_master=True).count() == 2
+
+
+def test_no_row_is_lost_or_doubled_between_loads(spark, tmp_path):
+    """An outage of days, a reload in between, and landed logs that a rerun replaced."""
+    house = Warehouse(spark, Lake(str(tmp_path / "lake")))
+    house.create()
+    batch = house.open_batch(datetime(2024, 1, 3, 1, 0))
+    arrivals = schemas.telemetry_staging_table(house.lake, "STAGING_DTC_TRANSACTION_REDIS")
+    fact = schemas.process_table(house.lake, "FACT_DATA_CON_TRANSACTION")
+
+    def arrive(at, value):
+        events = telemetry.extract_events(
+            lines(spark, "Collected: " + message(found=(("BondForce", value),)))
+        )
+        rows = house._audited(events, arrivals, batch, F.lit(at).cast("timestamp_ntz"))
+        loads.append(arrivals, rows)
+
+    arrive(datetime(2024, 1, 2, 7, 0), "1")
+    assert house.load_events(Batch(1, datetime(2024, 1, 2, 8, 0))).inserted == 1
+    arrive(datetime(2024, 1, 3, 7, 0), "2")
+    # Seven days without a load: the row of 3 January is still taken.
+    assert house.load_events(Batch(1, datetime(2024, 1, 10, 8, 0))).inserted == 1
+    house.reload_events(batch, date(2024, 1, 2))
+    left = fact.read(spark).count()
+    assert house.load_events(Batch(1, datetime(2024, 1, 10, 9, 0))).inserted == 0
+    assert fact.read(spark).count() == left
+
+    with pytest.raises(ValueError):
+        house.stage_logs(lines(spark), batch, "DTC140")
+
+
+def test_trial_runs_leave_production_alone(spark, tmp_path):
+    house = Warehouse(spark, Lake(str(tmp_path / "lake")))
+    house.create()
+    batch = house.open_batch(datetime(2024, 1, 3, 1, 0))
+    limits = tmp_path / "limits.csv"
+    limits.write_text("MachineNo,VariableName,SpecLCL,SpecUCL\nDTC140,BondForce,0,10\n")
+    house.load_limits(str(limits), batch)
+    staged = schemas.telemetry_staging_table(house.lake, "STAGING_DTC_TRANSACTION_TEST")
+    events = telemetry.extract_events(lines(spark, "Collected: " + message(found=(("BondForce", "5"),))))
+    loads.append(staged, house._audited(events, staged, batch))
+    mart = schemas.mart_table(house.lake, "DATA_CON_TRANSACTION")
+    fact = schemas.process_table(house.lake, "FACT_DATA_CON_TRANSACTION")
+    assert house.load_events(Batch(1, datetime(2099, 1, 1)), shadow=True).inserted == 1
+    house.load_spc_mart(date(2024, 1, 2), shadow=True)
+    assert fact.read(spark).count() == mart.read(spark).count() == 0
+    assert schemas.mart_table(house.lake, "DATA_CON_TRANSACTION_TEST").read(spark).count() == 1
+
+
+def test_rerun_scans_one_day(spark, tmp_path):
+    table = schemas.telemetry_staging_table(Lake(str(tmp_path)))
+    loads.create_table(spark, table)
+    rows = table.read(spark).filter(telemetry.collected_on(date(2024, 1, 2), "DTC140"))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "COLLECTED_DAY" in plan.split("PartitionFilters:")[1].split("PushedFilters")[0]

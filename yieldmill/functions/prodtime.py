@@ -51,15 +51,15 @@ def incremental(ts: str, after: datetime | None, as_of: datetime, day: str | Non
     """Rows newer than the watermark and older than the current minute.
 
     ``after`` is None when the target is still empty; then everything up to the
-    current minute is read.  ``day`` names a date partition column that limits
-    the scan to yesterday and today; it is not used for the first load.
+    current minute is read.  ``day`` names a date partition column that holds the day of
+    ``ts``; the scan starts at the watermark's day, however long ago that is.
     """
     minute = as_of.replace(second=0, microsecond=0)
     rows = F.col(ts) <= ntz(minute)
     if after is not None:
         rows = rows & (F.col(ts) > ntz(after))
         if day is not None:
-            rows = rows & (F.col(day) >= F.lit(as_of.date() - timedelta(days=1)))
+            rows = rows & (F.col(day) >= F.lit(after.date()))
     return rows
 
 

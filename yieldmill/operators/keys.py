@@ -63,13 +63,18 @@ def assign_keys(
     ``scope`` limits the target rows whose highest key counts, such as one plant
     or one session; without any the keys start after ``base``.  ``order_by`` should
     end with the full business key so the numbering is repeatable.  Keys have the
-    type of the target column.
+    type of the target column.  Plants have ranges of keys; a key beyond the range
+    that starts at ``base`` ends the job, as marts could not tell it from a key of
+    the next plant.
     """
     kind = target.schema[key].dataType
     rows = target if scope is None else target.filter(scope)
     highest = rows.agg(F.coalesce(F.max(key), F.lit(base)).cast("long").alias("_highest"))
     numbered = number_rows(new.drop(key), order_by, "_number")
     columns = [F.col(name) for name in numbered.columns if name != "_number"]
-    return numbered.select(
-        (F.col("_number") + highest.scalar()).cast(kind).alias(key), *columns
-    )
+    value = F.col("_number") + highest.scalar()
+    border = min((b for b in KEY_BASE.values() if b > base), default=None)
+    if border is not None:
+        full = F.raise_error(F.lit(f"{key}: the keys from {base} reach the next range at {border}"))
+        value = F.when(value <= border, value).otherwise(full.cast("long"))
+    return numbered.select(value.cast(kind).alias(key), *columns)

@@ -227,13 +227,19 @@ def process_table(lake: Lake, name: str) -> Table:
 
 
 def mart_table(lake: Lake, name: str) -> Table:
-    return lake.table("mart", name, ddl(MART_COLUMNS[name]), PARTITIONS[name])
+    plain = name.removesuffix("_TEST")
+    return lake.table("mart", name, ddl(MART_COLUMNS[plain]), PARTITIONS[plain])
 
 
 def control_table(lake: Lake) -> Table:
     return lake.table("control", "INF_BATCH_ID_CTRL", ddl(BATCH_CONTROL))
 
 
+def watermark_table(lake: Lake) -> Table:
+    """How far each stream has been loaded into each target, one row per load."""
+    return lake.table("control", "LOAD_WATERMARKS", ddl("STREAM string, TARGET string, MARK timestamp_ntz"))
+
+
 def all_tables(lake: Lake) -> list[Table]:
     """Every table of the lakehouse, for creation and for the reset."""
     return [
@@ -246,5 +252,7 @@ def all_tables(lake: Lake) -> list[Table]:
         *[process_table(lake, name) for name in PROCESS_COLUMNS],
         process_table(lake, "FACT_DATA_CON_TRANSACTION_TEST"),
         *[mart_table(lake, name) for name in MART_COLUMNS],
+        mart_table(lake, "DATA_CON_TRANSACTION_TEST"),
         control_table(lake),
+        watermark_table(lake),
     ]

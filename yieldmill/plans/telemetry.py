@@ -115,13 +115,17 @@ def match_limits(
 def incremental_slice(
     staging: DataFrame, after: datetime | None, as_of: datetime
 ) -> DataFrame:
-    """Staged rows that arrived after the watermark, up to the current minute."""
-    return staging.filter(incremental("DM_CREATED_DATE", after, as_of, "CREATE_DATE"))
+    """Staged rows that arrived after the watermark, up to the current minute.
+
+    Staging by day of arrival is read from the watermark's day on.
+    """
+    day = "CREATE_DATE" if "CREATE_DATE" in staging.columns else None
+    return staging.filter(incremental("DM_CREATED_DATE", after, as_of, day))
 
 
 def collected_on(day: date, machine: str | None = None) -> Column:
-    """Rows collected on a day, of one machine or of all; a range the scan can use."""
-    rows = (F.col("COLLECTEDDATE") >= ntz(datetime(day.year, day.month, day.day))) & (
+    """Rows collected on a day, of one machine or of all; the day is a partition of staging."""
+    rows = (F.col("COLLECTED_DAY") == F.lit(day)) & (F.col("COLLECTEDDATE") >= ntz(datetime(day.year, day.month, day.day))) & (
         F.col("COLLECTEDDATE") < ntz(datetime(day.year, day.month, day.day) + timedelta(days=1))
     )
     return rows if machine is None else rows & (machine_code("MACHINENAME") == machine)
@@ -167,5 +171,3 @@ def fact_events(
     audited = with_audit(rows, source, session, batch, created=F.col("_created"))
     return audited.withColumn("REC_ID", F.col("_rec_id")).drop("_rec_id", "_created")
 
-
-FACT_BUSINESS_KEY = ["MachineNo", "CreateDate", "Vid", "VariableName"]

@@ -286,13 +286,13 @@ class Warehouse:
         rows = self._audited(events, table, batch, arrival)
         return stream_append(rows, table, checkpoint, every)
 
-    def settle_logs(self, as_of: datetime) -> None:
+    def settle_logs(self, as_of: datetime) -> loads.LoadReport:
         """Append what landed since the last time to staging, where reruns can replace it."""
         landed = schemas.telemetry_landing_table(self.lake, COLLECTED).read(self.spark)
         table = schemas.telemetry_staging_table(self.lake, COLLECTED)
-        streamed = F.col("INF_SESS_NAME") == f"staging_{COLLECTED}"
-        after = scalar_max(table.read(self.spark), "DM_CREATED_DATE", streamed)
-        loads.append(table, landed.filter(incremental("DM_CREATED_DATE", after, as_of)))
+        after = self._watermark(f"landing_{COLLECTED}", table)
+        rows = landed.filter(incremental("DM_CREATED_DATE", after, as_of))
+        return self._append_new(table, rows, f"landing_{COLLECTED}")
 
     def stream_messages(
         self,
@@ -320,18 +320,23 @@ class Warehouse:
         if machine is None and day is None:
             loads.append(table, rows)
             return None
+        if day is None:
+            raise ValueError("a machine's lines are replaced by day: state the day")
         where = telemetry.collected_on(day, machine)
         return loads.replace_where(table, rows.filter(where), where)
 
-    def load_events(self, batch: Batch, shadow: bool = False) -> None:
-        """Append the telemetry that arrived since the last load."""
+    def load_events(self, batch: Batch, shadow: bool = False) -> loads.LoadReport:
+        """Append the telemetry that arrived since the last load.
+
+        A trial (``shadow``) reads the trial staging table, matches exact variable
+        names and writes the trial fact; production tables stay as they are.
+        """
         table = self._events_table(shadow)
-        staged = schemas.telemetry_staging_table(self.lake, ARRIVALS).read(self.spark)
-        after = scalar_max(
-            table.read(self.spark), "DM_CREATED_DATE", F.col("SOURCE_TABLE_NAME") == ARRIVALS
-        )
-        rows = telemetry.incremental_slice(staged, after, batch.as_of)
-        loads.append(table, self._event_rows(rows, batch, ARRIVALS))
+        name = COLLECTED + "_TEST" if shadow else ARRIVALS
+        staged = schemas.telemetry_staging_table(self.lake, name).read(self.spark)
+        rows = telemetry.incremental_slice(staged, self._watermark(name, table), batch.as_of)
+        events = self._event_rows(rows, batch, name, ignore_case=not shadow)
+        return self._append_new(table, events, name)
 
     def reload_events(
         self, batch: Batch, day: date, machine: str | None = None
@@ -360,11 +365,35 @@ class Warehouse:
         for name, value in values.items():
             fact = fact.filter(F.col(name) == F.lit(value))
         mart = marts.mart_spc(fact, self.master("DATA_CON_PARAM_SPEC"), limits_from_master)
-        table = schemas.mart_table(self.lake, "DATA_CON_TRANSACTION")
+        name = "DATA_CON_TRANSACTION" + ("_TEST" if shadow else "")
+        table = schemas.mart_table(self.lake, name)
         return loads.replace_values(table, mart, values, reads_table=False)
 
     # --- helpers --------------------------------------------------------------------
 
+    def _watermark(self, stream: str, target: Table) -> datetime | None:
+        """Arrival up to which a stream is in a target, whatever reruns removed there since.
+
+        The table has one row per load, so no load scans its target for a maximum.
+        """
+        marks = schemas.watermark_table(self.lake).read(self.spark)
+        mine = (F.col("STREAM") == stream) & (F.col("TARGET") == target.path)
+        return scalar_max(marks, "MARK", mine)
+
+    def _append_new(self, table: Table, rows: DataFrame, stream: str) -> loads.LoadReport:
+        """Append a slice of a stream and move the watermark.
+
+        Only the slice is read to count it and to find its last arrival; it starts
+        at the old watermark's day, so the work does not grow with the history.
+        """
+        count, mark = rows.agg(F.count(F.lit(1)), F.max("DM_CREATED_DATE")).first()
+        if count:
+            loads.append(table, rows)
+            marks = schemas.watermark_table(self.lake)
+            row = self.spark.createDataFrame([(stream, table.path, mark)], marks.schema)
+            loads.append(marks, row)
+        return loads.LoadReport(0, count)
+
     def _append(self, name: str, rows: DataFrame) -> None:
         loads.append(schemas.master_table(self.lake, name), rows)
 
