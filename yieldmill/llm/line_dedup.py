@@ -38,7 +38,7 @@ from yieldmill.session import materialise
 
 EXACT_WORDS = 3
 NEAR_WORDS = 8
-COUNTERS_PER_KEY = 8
+COUNTERS_PER_KEY = 32
 
 
 class Lines:
@@ -282,10 +282,10 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         lines.groupBy("h", "size")
         .agg(
             F.min(F.struct("doc", "line")).alias("at"),
-            F.max(F.struct("doc", "line")).alias("last"),
+            F.count("*").alias("places"),
             *(F.min(f"k{i}").alias(f"k{i}") for i in range(4)),
         )
-        .select("h", "size", "at.doc", "at.line", (F.col("at") < F.col("last")).alias("again"), "k0", "k1", "k2", "k3"),
+        .select("h", "size", "at.doc", "at.line", (F.col("places") > 1).alias("again"), "k0", "k1", "k2", "k3"),
         "distinct-lines",
     )
     places = materialise(near_candidates(distinct), "line-places")
