@@ -309,7 +309,19 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", counts: b
     With ``counts`` two columns follow: ``n_lines`` with a word and ``n_dropped``;
     documents that lost everything are then kept, with an empty text.
     """
-    gone = repeated_lines(docs, doc_id, text).withColumnRenamed("doc", "__llm_doc").withColumnRenamed("gone", "__llm_gone")
+    gone = materialise(repeated_lines(docs, doc_id, text), "lines-gone")
+    at = docs.columns.index(doc_id)
+    loses = sketch.id_filter(gone.select("doc"))
+
+    def rows(losing: bool) -> DataFrame:
+        def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array(loses(batch.column(at)) == losing))
+
+        return docs.mapInArrow(pick, docs.schema)
+
+    # Texts that lose nothing are not shuffled.
+    gone = gone.withColumnRenamed("doc", "__llm_doc").withColumnRenamed("gone", "__llm_gone")
     # Only documents that lose lines are split again.
     kept = F.array_join(
         F.filter(
@@ -318,7 +330,12 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", counts: b
         "\n",
     )
     lost = F.col("__llm_gone").isNotNull()
-    joined = docs.join(gone, F.col(doc_id) == F.col("__llm_doc"), "left")
+    # Always dealt by id: the plan is the same at every size.
+    joined = rows(True).join(gone.hint("merge"), F.col(doc_id) == F.col("__llm_doc"), "left")
+    whole = rows(False).select(
+        "*", F.lit(None).cast("long").alias("__llm_doc"), F.lit(None).cast("array<int>").alias("__llm_gone")
+    )
+    joined = joined.unionByName(whole)
     if counts:
         with_word = F.filter(F.split(F.coalesce(text, F.lit("")), "\n", -1), lambda line: line.rlike(WORD))
         joined = joined.withColumn("n_lines", F.size(with_word).cast("long")).withColumn(

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from yieldmill.llm.textops import mix
+
 CHUNK_BITS = 16
 CHUNK = 1 << CHUNK_BITS
 MOST_BITS = 1 << 30  # 128 MB
@@ -139,6 +141,27 @@ def merged(
     return out
 
 
+def id_filter(ids: DataFrame, per_key: int = 16) -> Callable[[pa.Array], np.ndarray]:
+    """A test for membership in the one whole-number column of ``ids``.
+
+    Every member passes and about one other in ``per_key``; null never passes.
+    """
+    counters = counters_for(ids.count(), per_key)
+
+    def hashes(column: pa.Array) -> np.ndarray:
+        plain = column.cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)
+        return mix(plain.view(np.uint64))
+
+    packed = merged(ids, lambda batch: iter([hashes(batch.column(0))]), counters, (1,))
+    sent = ids.sparkSession.sparkContext.broadcast(packed)
+
+    def passes(column: pa.Array) -> np.ndarray:
+        hit = look_up(sent.value, counters, 1, hashes(column)) > 0
+        return hit & column.is_valid().to_numpy(zero_copy_only=False)
+
+    return passes
+
+
 def total_chars(df: DataFrame, text: str) -> int:
     """Code points in all texts."""
     return df.agg(F.sum(F.length(F.col(text).cast("string")))).first()[0] or 0
