@@ -221,8 +221,12 @@ def test_trial_runs_leave_production_alone(spark, tmp_path):
 
 
 def test_rerun_scans_one_day(spark, tmp_path):
-    table = schemas.telemetry_staging_table(Lake(str(tmp_path)))
-    loads.create_table(spark, table)
+    house = Warehouse(spark, Lake(str(tmp_path)))
+    house.create()
+    table = schemas.telemetry_staging_table(house.lake)
+    events = telemetry.extract_events(lines(spark, "Collected: " + message()))
+    loads.append(table, house._audited(events, table, house.open_batch(datetime(2024, 1, 3, 1, 0))))
     rows = table.read(spark).filter(telemetry.collected_on(date(2024, 1, 2), "DTC140"))
     plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert rows.count() == 1
     assert "COLLECTED_DAY" in plan.split("PartitionFilters:")[1].split("PushedFilters")[0]
