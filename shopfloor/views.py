@@ -323,6 +323,16 @@ def edges(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def merged_edges(spark: SparkSession, folder: str) -> DataFrame:
+    """``edges``, where pending orders come from a second order, that with a third of their number."""
+    rows = cards(spark, folder).filter((F.col("o_orderkey") > 0) & (F.col("o_orderstatus") == "P"))
+    second = rows.withColumn("_from", F.floor(F.col("o_orderkey") / 3)).select(
+        "RUN_NO", run_no("_from").alias("FROM_RUN"), F.col("CREATED_DATE").alias("CONVERTED_DATE"),
+        "PRODUCT_PART_NO", "EER_NO", "JIT_CELL_NO",
+    )
+    return edges(spark, folder).unionByName(second)
+
+
 # Variable, id and message kind of each event type.
 VARIABLES = {
     "click": "BondForce",
@@ -540,6 +550,11 @@ SQL: dict[str, str] = {
                                      ELSE o_orderkey // 2 END AS VARCHAR), 10, '0') AS FROM_RUN,
                CREATED_DATE AS CONVERTED_DATE, PRODUCT_PART_NO, EER_NO, JIT_CELL_NO
         FROM cards WHERE o_orderkey > 0""",
+    "merged_edges": """
+        SELECT * FROM edges UNION ALL
+        SELECT RUN_NO, 'R' || lpad(CAST(o_orderkey // 3 AS VARCHAR), 10, '0'), CREATED_DATE,
+               PRODUCT_PART_NO, EER_NO, JIT_CELL_NO
+        FROM cards WHERE o_orderkey > 0 AND o_orderstatus = 'P'""",
     "telemetry": """
         SELECT 'dtc' || (user_id % 10 + 140) || '-eq' AS MACHINENAME, ts AS COLLECTEDDATE,
                CASE WHEN value < 50 THEN 1 ELSE 2 END AS CEID, 'Sample' AS COLLECTIONEVENTNAME,
@@ -575,6 +590,7 @@ NEEDS: dict[str, tuple[str, ...]] = {
     "start_ops": ("routing",),
     "card_dim": ("cards",),
     "edges": ("cards",),
+    "merged_edges": ("cards", "edges"),
 }
 
 

@@ -104,6 +104,19 @@ def wip_moves(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# A month, which leaves out moves, cards and documents.
+MONTH = (datetime(1997, 3, 1, 7, 0, 1), datetime(1997, 4, 1, 7, 0, 0))
+IN_MONTH = "a.TRANSFER_DATE BETWEEN TIMESTAMP '1997-03-01 07:00:01' AND TIMESTAMP '1997-04-01 07:00:00'"
+
+
+@query(sql(MOVE_VIEWS, f"{WIP_SQL} AND {IN_MONTH}"))
+def wip_moves_month(spark: SparkSession, folder: str) -> DataFrame:
+    f = move_frames(spark, folder)
+    return facts.wip_moves(
+        f["moves"], f["cards"], f["docs"], f["start_ops"], MONTH, views.LOOK_BACK_AS_OF
+    )
+
+
 @query(sql("cards docs moves", MATERIAL_SQL))
 def material_moves(spark: SparkSession, folder: str) -> DataFrame:
     f = move_frames(spark, folder)
@@ -124,6 +137,26 @@ def trans_moves(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    sql(
+        ALL_VIEWS,
+        TRANS_SQL,
+        totals=TOTALS_SQL.replace("WHERE WIP_ALREADY", f"WHERE {IN_MONTH} AND WIP_ALREADY"),
+    )
+)
+def trans_moves_month(spark: SparkSession, folder: str) -> DataFrame:
+    f = move_frames(spark, folder)
+    return facts.trans_moves(
+        views.transactions(spark, folder),
+        f["cards"],
+        f["docs"],
+        f["moves"],
+        views.operations(spark, folder),
+        f["start_ops"],
+        MONTH,
+    )
+
+
 def all_moves(spark: SparkSession, folder: str, material: bool) -> DataFrame:
     f = move_frames(spark, folder)
     return facts.all_moves(
@@ -389,6 +422,13 @@ def run_lineage(spark: SparkSession, folder: str) -> DataFrame:
     return lineage.run_lineage(cards, views.edges(spark, folder), WINDOW)
 
 
+@query(sql("card_dim merged_edges", "SELECT * FROM latest", latest=LINEAGE_SQL.replace("edges", "merged_edges")))
+def run_lineage_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """Lineage where some runs come from two others."""
+    cards = views.card_dim(spark, folder)
+    return lineage.run_lineage(cards, views.merged_edges(spark, folder), WINDOW)
+
+
 @query(
     sql(
         "card_dim edges docs product_dim line_dim",

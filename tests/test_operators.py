@@ -240,6 +240,31 @@ def test_lineage_matches_brute_force(spark, latest):
     assert last(spark, every, latest) == expected
 
 
+@pytest.mark.parametrize("latest", ["max", "deepest"])
+def test_lineage_of_runs_with_two_parents(spark, latest):
+    """Every third run of a chain is merged from two runs."""
+    rng = random.Random(7)
+    edges = []
+    for i in range(1, 25):
+        edges.append((f"m{i * 37 % 61:02d}", f"m{(i - 1) * 37 % 61:02d}"))
+        if i > 3 and i % 3 == 0:
+            edges.append((f"m{i * 37 % 61:02d}", f"m{rng.randrange(i - 1) * 37 % 61:02d}"))
+    rank = {
+        "max": lambda pair: (pair[0], pair[1]),
+        "deepest": lambda pair: (pair[1], pair[0]),
+    }[latest]
+    expected = {root: max(found.items(), key=rank) for root, found in walk(set(edges)).items()}
+    assert last(spark, edges, latest) == expected
+
+
+def test_lineage_cycle_over_merges_is_reported(spark):
+    edges = [("b", "a"), ("b", "x"), ("c", "b"), ("a", "c"), ("a", "y")]
+    with pytest.raises(lineage.LineageCycle):
+        last(spark, edges)
+    with pytest.raises(lineage.LineageCycle):
+        last(spark, [("a", "a"), ("a", "b")])
+
+
 def test_lineage_cycle_is_reported(spark):
     for cycle in ([("a", "a")], [("b", "a"), ("a", "b")], chain(5) + [("r0000", "r0005")]):
         with pytest.raises(lineage.LineageCycle):

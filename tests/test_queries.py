@@ -17,6 +17,8 @@ COMPARED = [
     "replace_by_keys",
     "run_lineage_apply",
     "spc_daily",
+    "trans_moves_month",
+    "wip_moves_month",
 ]
 
 
@@ -57,3 +59,14 @@ def test_window_filter_reaches_the_scan(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in plan
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz>" in plan
+
+
+@pytest.mark.parametrize("name", ["wip_moves_month", "trans_moves_month"])
+def test_history_is_reduced_to_the_window_before_it_is_summed(spark, name):
+    """Cards and documents meet a semi join below their aggregates."""
+    plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    for column in ["_material"] if name.startswith("wip") else ["_cards", "_docs"]:
+        at = next(i for i, line in enumerate(lines) if "Aggregate" in line and f"AS {column}#" in line)
+        first = next(line for line in lines[at + 1 :] if "Join" in line or "Relation" in line)
+        assert "LeftSemi" in first

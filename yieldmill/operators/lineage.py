@@ -30,20 +30,34 @@ def last_descendants(edges: DataFrame, latest: str = "max") -> DataFrame:
     ``latest="max"`` takes the greatest run number among all descendants,
     ``latest="deepest"`` the one most conversions away, then the greatest.
 
-    Works by doubling: after k rounds every run knows the best descendant less
-    than 2**k conversions away and its ancestors exactly 2**k away, so a chain of
-    n runs takes log2(n) rounds instead of n joins, and no round holds more than
-    the runs and their ancestors at one distance.  Descendants are reduced to the
-    best one before every shuffle, so a run with very many conversions costs one
-    row per task.  A cycle never runs out of ancestors and is reported.
+    Runs with one parent form trees; a run merged from several parents is the root
+    of its own tree.  Inside the trees the search doubles its reach each round, so a
+    chain of n runs takes log2(n) rounds, and a round holds one ancestor per run.
+    Then the trees are settled from the last merges back: a tree offers its result
+    to the parents of its root once no other tree has anything left to offer to it,
+    and the offers climb with the jumps of the first part.  Every conversion is
+    used once there, so no round holds more than the conversions.  A cycle inside a
+    tree never runs out of ancestors, one over merges leaves no tree to settle;
+    both are reported.
     """
     if latest not in ("max", "deepest"):
         raise ValueError(f"latest must be 'max' or 'deepest', not {latest!r}")
     rank = ("run", "depth") if latest == "max" else ("depth", "run")
-    jumps = edges.select(F.col("RUN_NO").alias("node"), F.col("FROM_RUN").alias("ancestor"))
-    jumps = materialise(jumps.distinct(), "jumps")
+    links = edges.select(F.col("RUN_NO").alias("node"), F.col("FROM_RUN").alias("ancestor"))
+    links = materialise(links.distinct(), "links")
+    parents = links.groupBy("node").agg(F.count("*").alias("parents"), F.min("ancestor").alias("ancestor"))
+    jumps = materialise(parents.where("parents = 1").select("node", "ancestor"), "jumps")
+    merged = links.join(parents.where("parents > 1").select("node"), "node")
+    best, levels = _climb_trees(jumps, rank)
+    best = _settle_merges(materialise(merged, "merges"), best, levels, rank)
+    return best.select(F.col("ancestor").alias("FROM_RUN"), F.col("run").alias("RUN_NO"), "depth")
+
+
+def _climb_trees(jumps: DataFrame, rank: tuple[str, str]) -> tuple[DataFrame, list[DataFrame]]:
+    """The best descendant of each run in its tree, and the ancestors 1, 2, 4, ... away."""
     # Without a cycle no chain is longer than the number of conversions.
     longest = pairs = jumps.count()
+    levels: list[DataFrame] = []
     # best: the best strict descendant of a run at a distance of at most `reach`.
     best = _best(
         jumps.select("ancestor", F.col("node").alias("run"), F.lit(1).alias("depth")), rank
@@ -53,6 +67,7 @@ def last_descendants(edges: DataFrame, latest: str = "max") -> DataFrame:
     while pairs:
         if reach > longest:
             raise LineageCycle("run conversions form a cycle")
+        levels.append(jumps)
         # A node `reach` away offers its own best descendant to that ancestor.
         carried = jumps.join(best.withColumnRenamed("ancestor", "node"), "node").select(
             "ancestor", "run", (F.col("depth") + reach).alias("depth")
@@ -62,14 +77,56 @@ def last_descendants(edges: DataFrame, latest: str = "max") -> DataFrame:
         further = jumps.join(above, "ancestor").select("node", F.col("next").alias("ancestor"))
         # One write per round holds both results, in a folder each.
         state = better.withColumn("kind", F.lit("best")).unionByName(
-            further.distinct().withColumn("kind", F.lit("jump")), allowMissingColumns=True
+            further.withColumn("kind", F.lit("jump")), allowMissingColumns=True
         )
         state = materialise(state, "lineage", ("kind",))
         best = state.filter(F.col("kind") == "best").select("ancestor", "run", "depth")
         jumps = state.filter(F.col("kind") == "jump").select("node", "ancestor")
         pairs = jumps.count()
         reach *= 2
-    return best.select(F.col("ancestor").alias("FROM_RUN"), F.col("run").alias("RUN_NO"), "depth")
+    return best, levels
+
+
+def _settle_merges(
+    merged: DataFrame, best: DataFrame, levels: list[DataFrame], rank: tuple[str, str]
+) -> DataFrame:
+    """``best`` with what merged runs offer to all their ancestors."""
+    if merged.isEmpty():
+        return best
+    # Root of the tree that each parent of a merged run stands in.
+    tops = merged.select("ancestor", F.col("ancestor").alias("top")).distinct()
+    for jumps in reversed(levels):
+        up = jumps.select(F.col("node").alias("top"), F.col("ancestor").alias("higher"))
+        tops = tops.join(up, "top", "left").select("ancestor", F.coalesce("higher", "top").alias("top"))
+    open_links = materialise(merged.join(tops, "ancestor"), "merges")
+    while not open_links.isEmpty():
+        waiting = open_links.select(F.col("top").alias("node")).distinct()
+        ready = open_links.join(waiting, "node", "left_anti")
+        if ready.isEmpty():
+            raise LineageCycle("run conversions form a cycle")
+        own = best.withColumnRenamed("ancestor", "node")
+        itself = ready.select("ancestor", F.col("node").alias("run"), F.lit(1).alias("depth"))
+        carried = ready.join(own, "node").select("ancestor", "run", (F.col("depth") + 1).alias("depth"))
+        offers = _best(itself.unionByName(carried), rank)
+        for level, jumps in enumerate(levels):
+            offers = _best(_also_above(offers, jumps, 2**level), rank)
+        best = materialise(_best(best.unionByName(offers), rank), "best")
+        open_links = materialise(open_links.join(waiting, "node", "left_semi"), "merges")
+    return best
+
+
+def _also_above(offers: DataFrame, jumps: DataFrame, distance: int) -> DataFrame:
+    """Each offer, also for the ancestor ``distance`` conversions above its run."""
+    above = jumps.select(F.col("node").alias("ancestor"), F.col("ancestor").alias("higher"))
+    places = F.filter(
+        F.array(
+            F.struct("ancestor", "depth"),
+            F.struct(F.col("higher").alias("ancestor"), (F.col("depth") + distance).alias("depth")),
+        ),
+        lambda place: place["ancestor"].isNotNull(),
+    )
+    joined = offers.join(above, "ancestor", "left").select("run", F.explode(places).alias("place"))
+    return joined.select("place.ancestor", "run", "place.depth")
 
 
 def _best(rows: DataFrame, rank: tuple[str, str]) -> DataFrame:

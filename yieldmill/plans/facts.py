@@ -30,6 +30,9 @@ OPERATION_LENGTH = 4
 LOOK_BACK_DAYS = 1000
 OTHER_SEQUENCE = 999
 
+# What a run card and its document have in common.
+LOT_KEYS = ["PRODUCT_PART_NO", "EER_NO", "JIT_CELL_NO"]
+
 # Plants whose fact has the material branch and removes equal rows at the end.
 WITH_MATERIAL = ("WH",)
 
@@ -71,40 +74,42 @@ def start_operations(start_ops: DataFrame, docs: DataFrame, as_of: date) -> Data
     return rows.select("OPERATION_NO").distinct()
 
 
-def _material_doc() -> Column:
-    """Documents of material and die lots."""
+def _material_doc(document: str) -> Column:
+    """Documents of material and die lots; ``document`` is the column of their number."""
     return (
         F.col("LAT_LOT_TYPE").isin(MATERIAL_LOTS)
-        & (F.col("EERNO") != DUMMY_DOCUMENT)
+        & (F.col(document) != DUMMY_DOCUMENT)
         & (F.col("MATERIAL_TYPE") == WIP_MATERIAL)
     )
 
 
-def _documented(cards: DataFrame, docs: DataFrame) -> DataFrame:
-    """Run cards with the lot type of their document, and whether one is of material.
+def _documented(cards: DataFrame, docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Wanted run cards with the lot type of their document, and whether one is of material.
 
-    Only distinct rows matter to the callers, so repeated cards and documents are
-    removed before they can multiply.
+    ``wanted`` has the RUN_NO and PRODUCT_PART_NO to look for: cards are reduced to
+    them and documents to those cards before either is aggregated, so a day's moves
+    do not shuffle the whole history.  Only distinct rows matter to the callers, so
+    repeated cards and documents are removed before they can multiply.
     """
-    card = cards.select(
-        "RUN_NO", "PRODUCT_PART_NO", "EER_NO", "JIT_CELL_NO", "MPT_PRODUCT_PART_NO"
-    ).distinct()
-    doc = docs.groupBy(
-        "PRODUCT_PART_NO", F.col("EERNO").alias("EER_NO"), "JIT_CELL_NO", "LAT_LOT_TYPE"
-    ).agg(F.bool_or(F.coalesce(_material_doc(), F.lit(False))).alias("_material"))
-    return card.join(doc, ["PRODUCT_PART_NO", "EER_NO", "JIT_CELL_NO"])
+    card = (
+        cards.select("RUN_NO", "PRODUCT_PART_NO", "EER_NO", "JIT_CELL_NO", "MPT_PRODUCT_PART_NO")
+        .join(wanted, ["RUN_NO", "PRODUCT_PART_NO"], "left_semi")
+        .distinct()
+    )
+    doc = (
+        docs.withColumnRenamed("EERNO", "EER_NO")
+        .withColumn("_material", F.coalesce(_material_doc("EER_NO"), F.lit(False)))
+        .select(*LOT_KEYS, "LAT_LOT_TYPE", "_material")
+        .join(card.select(*LOT_KEYS), LOT_KEYS, "left_semi")
+        .groupBy(*LOT_KEYS, "LAT_LOT_TYPE")
+        .agg(F.bool_or("_material").alias("_material"))
+    )
+    return card.join(doc, LOT_KEYS)
 
 
-def _moves(
-    wip: DataFrame,
-    cards: DataFrame,
-    docs: DataFrame,
-    window: tuple[datetime, datetime],
-    keep: Column,
-) -> DataFrame:
-    """Valid moves of documented run cards for which ``keep`` holds."""
-    flags = [name for name in wip.columns if name == "_ordinary"]
-    moves = wip.filter(in_window("TRANSFER_DATE", window) & valid_move()).select(
+def _moves_of(wip: DataFrame, window: tuple[datetime, datetime]) -> DataFrame:
+    """Valid moves of the window, with the columns the facts read."""
+    return wip.filter(in_window("TRANSFER_DATE", window) & valid_move()).select(
         "RUN_NO",
         "PRODUCT_PART_NO",
         "OPERATION_NO",
@@ -115,9 +120,16 @@ def _moves(
         "TRANSFER_DATE",
         "DATE_IN",
         "DATE_OUT",
-        *flags,
     )
-    joined = moves.join(_documented(cards, docs), ["RUN_NO", "PRODUCT_PART_NO"]).filter(keep)
+
+
+def _with_documents(
+    moves: DataFrame, cards: DataFrame, docs: DataFrame, wanted: DataFrame, keep: Column
+) -> DataFrame:
+    """Moves of documented run cards for which ``keep`` holds; ``wanted`` holds their keys."""
+    keys = ["RUN_NO", "PRODUCT_PART_NO"]
+    documented = _documented(cards, docs, wanted.select(*keys).distinct())
+    joined = moves.join(documented, keys).filter(keep)
     return joined.withColumns(
         {
             "DATE_BEGIN": production_start("TRANSFER_DATE"),
@@ -140,15 +152,17 @@ def wip_moves(
 
     The output is the input less the scrap.
     """
-    ordinary = not_in(wip, "OPERATION_NO", start_operations(start_ops, docs, as_of))
-    return _moves(ordinary, cards, docs, window, F.lit(True)).distinct()
+    moves = _moves_of(wip, window)
+    ordinary = not_in(moves, "OPERATION_NO", start_operations(start_ops, docs, as_of))
+    return _with_documents(ordinary, cards, docs, moves, F.lit(True)).distinct()
 
 
 def material_moves(
     wip: DataFrame, cards: DataFrame, docs: DataFrame, window: tuple[datetime, datetime]
 ) -> DataFrame:
     """Distinct valid moves of material and die lots."""
-    return _moves(wip, cards, docs, window, F.col("_material")).distinct()
+    moves = _moves_of(wip, window)
+    return _with_documents(moves, cards, docs, moves, F.col("_material")).distinct()
 
 
 def wip_or_material_moves(
@@ -165,8 +179,9 @@ def wip_or_material_moves(
     with either condition.
     """
     listed = start_operations(start_ops, docs, as_of)
-    flagged = with_not_in(wip, "OPERATION_NO", listed, "_ordinary")
-    return _moves(flagged, cards, docs, window, F.col("_ordinary") | F.col("_material"))
+    moves = _moves_of(wip, window)
+    flagged = with_not_in(moves, "OPERATION_NO", listed, "_ordinary")
+    return _with_documents(flagged, cards, docs, moves, F.col("_ordinary") | F.col("_material"))
 
 
 def trans_totals(
@@ -182,7 +197,8 @@ def trans_totals(
     A transaction counts once for every matching move, card and document, as in a
     plain join of the four tables.  Each side is reduced to one row per run before
     the join, with the number of its rows as a factor, so a run with many moves and
-    many transactions does not multiply in the shuffle.
+    many transactions does not multiply in the shuffle.  Moves and cards are reduced
+    to the runs of the window, and documents to those cards, before they are summed.
     """
     codes = list(GROUP_SEQUENCE.values())
     accepted = trans.filter(
@@ -202,8 +218,10 @@ def trans_totals(
         F.sum(lost).alias("_scrap"),
         F.max("TRANSFER_DATE").alias("TRANSFER_DATE"),
     )
+    wanted = accepted.select("RUN_NO").distinct()
     moved = (
         wip.select("RUN_NO", "OPERATION_NO", "DATE_IN", "DATE_OUT")
+        .join(wanted, "RUN_NO", "left_semi")
         .join(group_codes(operations), "OPERATION_NO")
         .groupBy("RUN_NO", F.col("OPERATION_WIP_TRANS").alias("OPERATION_NO"))
         .agg(
@@ -212,16 +230,19 @@ def trans_totals(
             F.max("DATE_OUT").alias("DATE_OUT"),
         )
     )
-    lots = docs.groupBy(
-        "PRODUCT_PART_NO", F.col("EERNO").alias("EER_NO"), "JIT_CELL_NO", "LAT_LOT_TYPE"
-    ).agg(F.count(F.lit(1)).alias("_docs"))
-    runs = cards.groupBy(
-        "MPT_PRODUCT_PART_NO", "PRODUCT_PART_NO", "JIT_CELL_NO", "EER_NO", "RUN_NO"
-    ).agg(F.count(F.lit(1)).alias("_cards"))
+    runs = (
+        cards.join(wanted, "RUN_NO", "left_semi")
+        .groupBy("MPT_PRODUCT_PART_NO", *LOT_KEYS, "RUN_NO")
+        .agg(F.count(F.lit(1)).alias("_cards"))
+    )
+    lots = (
+        docs.select("PRODUCT_PART_NO", F.col("EERNO").alias("EER_NO"), "JIT_CELL_NO", "LAT_LOT_TYPE")
+        .join(runs.select(*LOT_KEYS), LOT_KEYS, "left_semi")
+        .groupBy(*LOT_KEYS, "LAT_LOT_TYPE")
+        .agg(F.count(F.lit(1)).alias("_docs"))
+    )
     joined = (
-        sums.join(moved, ["RUN_NO", "OPERATION_NO"])
-        .join(runs, "RUN_NO")
-        .join(lots, ["PRODUCT_PART_NO", "EER_NO", "JIT_CELL_NO"])
+        sums.join(moved, ["RUN_NO", "OPERATION_NO"]).join(runs, "RUN_NO").join(lots, LOT_KEYS)
     )
     factor = F.col("_moves") * F.col("_cards") * F.col("_docs")
     return joined.select(
