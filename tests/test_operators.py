@@ -245,7 +245,7 @@ def test_lineage_of_runs_with_two_parents(spark, latest):
     """Every third run of a chain is merged from two runs."""
     rng = random.Random(7)
     edges = []
-    for i in range(1, 25):
+    for i in range(1, 14):
         edges.append((f"m{i * 37 % 61:02d}", f"m{(i - 1) * 37 % 61:02d}"))
         if i > 3 and i % 3 == 0:
             edges.append((f"m{i * 37 % 61:02d}", f"m{rng.randrange(i - 1) * 37 % 61:02d}"))
