@@ -226,13 +226,17 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def days(spark: SparkSession, folder: str) -> DataFrame:
+    """The days with orders or shipments."""
+    ordered = load(spark, folder, "orders").select(F.to_date("o_orderdate").alias("DATE_BEGIN"))
+    shipped = load(spark, folder, "lineitem").select(F.to_date("l_shipdate").alias("DATE_BEGIN"))
+    return ordered.distinct().unionByName(shipped.distinct()).distinct()
+
+
 def weeks(spark: SparkSession, folder: str) -> DataFrame:
     """Work weeks, Saturday to Saturday, of the days with orders or shipments."""
-    ordered = load(spark, folder, "orders").select(F.to_date("o_orderdate").alias("day"))
-    shipped = load(spark, folder, "lineitem").select(F.to_date("l_shipdate").alias("day"))
-    days = ordered.distinct().unionByName(shipped.distinct()).distinct()
-    start = F.date_sub(F.next_day("day", "Sat"), 7)
-    return days.select(start.alias("start")).distinct().select(
+    start = F.date_sub(F.next_day("DATE_BEGIN", "Sat"), 7)
+    return days(spark, folder).select(start.alias("start")).distinct().select(
         F.year("start").cast("string").alias("YEAR"),
         F.concat(F.lit("Q"), F.quarter("start").cast("string")).alias("QUARTER"),
         F.month("start").cast("string").alias("MONTH"),
@@ -446,9 +450,9 @@ def log_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def json_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """The readable messages alone, one JSON object per line."""
+    """The messages without their marks, one per line; those of errors are broken JSON."""
     message = F.regexp_extract("value", r"(\{.*\})", 1)
-    return log_lines(spark, folder).filter(F.col("kind") != "error").select(message.alias("value"))
+    return log_lines(spark, folder).select(message.alias("value"))
 
 
 SQL: dict[str, str] = {

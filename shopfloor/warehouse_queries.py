@@ -11,12 +11,13 @@ from shopfloor import views
 from shopfloor.registry import query
 from shopfloor.time_queries import start_sql
 from shopfloor.views import PLANT, load, sql
-from yieldmill.operators import joins, keys, lineage, merge
+from yieldmill.operators import joins, keys, lineage, loads, merge
 from yieldmill.operators.audit import Batch, load_report as report
 from yieldmill.operators.audit import merge_preview as preview
 from yieldmill.operators.audit import next_batch, with_audit
-from yieldmill.plans import dims, facts, marts
-from yieldmill.session import materialise
+from yieldmill.plans import dims, facts, marts, schemas
+from yieldmill.session import materialise, scratch_path
+from yieldmill.sources import Lake
 
 BATCH = Batch(42, views.AS_OF)
 WINDOW = views.WHOLE
@@ -540,6 +541,80 @@ def dim_insert_only(spark: SparkSession, folder: str) -> DataFrame:
     return target.select(columns).unionByName(new.select(columns))
 
 
+def loaded(spark: SparkSession, name: str, runs: list) -> DataFrame:
+    """A dimension table after several runs, each a function from the table's rows to new ones."""
+    table = schemas.master_table(Lake(scratch_path(spark, "lake")), name)
+    loads.create_table(spark, table)
+    for run in runs:
+        loads.append(table, run(table.read(spark)))
+    return table.read(spark)
+
+
+@query(
+    sql(
+        "weeks",
+        """SELECT CAST(row_number() OVER (ORDER BY DATE_BEGIN < DATE '1997-01-01', DATE_BEGIN) AS INTEGER)
+                      AS DATE_KEY, DATE_BEGIN, WW, MONTH, QUARTER, YEAR
+           FROM (SELECT CAST(o_orderdate AS DATE) AS DATE_BEGIN FROM orders
+                 UNION SELECT CAST(l_shipdate AS DATE) FROM lineitem) JOIN weeks
+             ON CAST(SAT_FROM_DATE AS DATE) <= DATE_BEGIN
+            AND CAST(SAT_TO_DATE AS DATE) >= DATE_BEGIN + 1""",
+    )
+)
+def dim_date(spark: SparkSession, folder: str) -> DataFrame:
+    """The days from 1997 on, then all days: the earlier ones get the later keys."""
+    weeks = materialise(views.weeks(spark, folder), "weeks")
+    days = materialise(dims.day_bounds(views.days(spark, folder)), "days")
+    late = days.filter(F.col("DATE_BEGIN") >= F.lit(date(1997, 1, 1)))
+    runs = [lambda target, rows=rows: dims.dim_date(weeks, rows, target, BATCH) for rows in (late, days)]
+    return loaded(spark, "MFG_DATE_DIM", runs).select(
+        "DATE_KEY", "DATE_BEGIN", "WW", "MONTH", "QUARTER", "YEAR"
+    )
+
+
+@query(
+    sql(
+        "cards docs product_dim line_dim",
+        """SELECT CAST(first + row_number() OVER (PARTITION BY k.PLANT ORDER BY
+                           CREATED_DATE <= TIMESTAMP '1997-01-01 07:00:00', RUN_NO) AS INTEGER)
+                      AS RUNCARD_NO_KEY,
+                  RUN_NO AS RUNCARD_NO, CAST(PRODUCT_PART_NO_KEY AS INTEGER) AS PRODUCT_PART_NO_KEY,
+                  EER_NO, LAT_LOT_TYPE, CREATED_DATE, LINE_NO_KEY, k.PLANT, 'master_SFC_RUNCARD_DIM_' || k.PLANT AS INF_SESS_NAME
+           FROM (SELECT DISTINCT r.RUN_NO, p.PRODUCT_PART_NO_KEY, r.EER_NO, d.LAT_LOT_TYPE,
+                        r.CREATED_DATE, l.LINE_NO_KEY
+                 FROM cards r JOIN docs d ON r.EER_NO = d.EERNO
+                      AND r.PRODUCT_PART_NO = d.PRODUCT_PART_NO AND r.JIT_CELL_NO = d.JIT_CELL_NO
+                      JOIN product_dim p ON r.PRODUCT_PART_NO = p.PRODUCT_PART_NO
+                      JOIN line_dim l ON r.JIT_CELL_NO = l.LINE_NO
+                 WHERE APP_NAME <> 'PSUDO' OR APP_NAME IS NULL),
+                (VALUES ('WA', 100000000), ('WH', 300000000)) AS k(PLANT, first)""",
+    )
+)
+def dim_runcard(spark: SparkSession, folder: str) -> DataFrame:
+    """Run cards of two plants, from a window of recent years and then from all years."""
+    cards, docs = views.cards(spark, folder), views.docs(spark, folder)
+    recent = (datetime(1997, 1, 1, 7, 0, 1), WINDOW[1])
+
+    def run(plant: str, window: tuple[datetime, datetime]):
+        own = lambda rows: rows.withColumn("PLANT", F.lit(plant))
+        source = dims.runcard_source(
+            cards,
+            docs,
+            own(views.product_dim(spark, folder)),
+            own(views.line_dim(spark, folder)),
+            window,
+            views.AS_OF,
+            plant,
+        )
+        return lambda target: dims.dim_runcard(source, target, BATCH, plant)
+
+    runs = [run(plant, window) for window in (recent, WINDOW) for plant in ("WA", "WH")]
+    return loaded(spark, "SFC_RUNCARD_DIM", runs).select(
+        "RUNCARD_NO_KEY", "RUNCARD_NO", "PRODUCT_PART_NO_KEY", "EER_NO", "LAT_LOT_TYPE",
+        "CREATED_DATE", "LINE_NO_KEY", "PLANT", "INF_SESS_NAME",
+    )
+
+
 @query(
     sql(
         "operations",

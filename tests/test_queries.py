@@ -14,10 +14,13 @@ QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
 COMPARED = [
     "cumulative_yield",
     "dim_conditional_update",
+    "dim_date",
+    "dim_runcard",
     "key_assign",
     "replace_by_keys",
     "run_lineage_apply",
     "spc_daily",
+    "stream_json_ingest",
     "trans_moves_month",
     "wip_moves_month",
 ]
