@@ -193,6 +193,32 @@ def test_quality_rules(docs, empty):
     assert quality_rules.judge(empty).count() == 0
 
 
+def test_quality_outliers(spark):
+    """Planted outliers fall, a third of a group as well as a few, in a group of 90 rows too."""
+    rng = random.Random(8)
+    vocabulary = [a + b * (1 + i % 3) for i, a in enumerate("bcdfghklmnprst") for b in ("ab", "ed", "ilk", "orn", "ust")]
+
+    def body(symbols, digits):
+        w = [rng.choice(vocabulary) for _ in range(rng.randint(80, 200))]
+        for k in range(len(w)):
+            u = rng.random()
+            w[k] = "#$%" if u < symbols else str(rng.randint(0, 99)) if u < symbols + digits else w[k]
+        return " ".join(w)
+
+    rows, planted = [], set()
+    for source, sound, odd in (("a", 400, 200), ("b", 300, 4), ("c", 60, 30)):
+        for k in range(sound + odd):
+            if k >= sound:
+                planted.add(len(rows))
+            rows.append((len(rows), body(0.3, 0.3) if k >= sound else body(0.01, 0.02), "en", source))
+    out = quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+    got = {r.doc_id: r for r in out.collect()}
+    assert not any(r.base_failed for r in got.values())
+    gone = {i for i, r in got.items() if not r.kept}
+    assert planted <= gone and len(gone - planted) <= 0.02 * len(rows)
+    assert quality_rules.CUT == pytest.approx(24.3219, abs=1e-3)  # chi-square table, 0.999 of 7
+
+
 def edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

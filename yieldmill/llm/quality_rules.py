@@ -3,11 +3,16 @@
 Each text becomes a vector of transformed statistics.  For each language and
 source, the minimum-covariance-determinant estimate of centre and spread comes
 from concentration steps over all rows: distances under the last estimate, the
-half of the rows that lies nearest, their moments, a new estimate.  A step is
-one aggregation: rows are summed by group and distance class, so a group of any
-size reaches one task as at most ``CLASSES`` rows.  Statistics are whole numbers
+half of the rows that lies nearest, their moments, a new estimate.  A group takes
+steps until the determinant of its spread stops falling.  A step is one
+aggregation: rows are summed by group and distance class, so a group of any size
+reaches one task as at most ``CLASSES`` rows.  Statistics are whole numbers
 (thousandths), so sums do not depend on their order and reruns agree.
 
+The spread of the inner half is scaled to that of normal rows, whose squared
+distances are chi-square with as many degrees of freedom as there are statistics.
+A text beyond the ``LEVEL`` quantile of that distribution is an outlier.
+
 A group with fewer than ``LEAST_ROWS`` rows uses the estimate of its language,
 and a language with fewer that of all rows; where even those are fewer, the
 method rejects nothing.
@@ -31,11 +36,10 @@ from yieldmill.llm.statistics import with_counts
 from yieldmill.session import materialise
 
 UNIT = 1000  # statistics are counted in thousandths
-LEAST_ROWS = 200
-STEPS = 4
 CLASSES = 640  # classes of the logarithm of a distance
-SHARE = 0.75  # of the rows that a concentration step keeps
-CUT = 90.0  # squared distance from which a text is an outlier
+SHARE = 0.5  # of the rows that a concentration step keeps
+FALL = 1e-3  # least fall of the logarithm of the determinant that calls for another step
+LEVEL = 0.999  # share of normal rows that no cut rejects
 
 # Per statistic the smallest deviation a group is credited with, so that a group
 # of near-constant values does not reject ordinary texts.
@@ -59,6 +63,7 @@ def statistics() -> list[Column]:
 
 
 P = len(FLOORS)
+LEAST_ROWS = 10 * P
 NAMES = [f"x{i}" for i in range(P)]
 PAIRS = [(i, j) for i in range(P) for j in range(i, P)]
 KEYS = ["level", "_lang", "_source"]
@@ -106,7 +111,9 @@ def distance_class(square: Column) -> Column:
     ).cast("int")
 
 
-GROUP_SCHEMA = "level int, _lang string, _source string, n long, mean array<double>, inverse array<double>"
+GROUP_SCHEMA = (
+    "level int, _lang string, _source string, n long, mean array<double>, inverse array<double>, log_det double"
+)
 
 
 def first_estimate(rows: DataFrame) -> DataFrame:
@@ -126,7 +133,8 @@ def first_estimate(rows: DataFrame) -> DataFrame:
             mean[i] = weighted_median(value, n) / 100
             away = weighted_median(np.abs(value - mean[i] * 100), n) / 100 * 1.4826
             inverse[i, i] = 1 / max(away, FLOORS[i]) ** 2
-        return group_row(key, int(weight[dim == 0].sum()), mean, inverse)
+        # Not the determinant of an inner half: any step's is lower.
+        return group_row(key, int(weight[dim == 0].sum()), mean, inverse, math.inf)
 
     return counts.groupBy(*KEYS).applyInArrow(fit, GROUP_SCHEMA)
 
@@ -137,7 +145,9 @@ def weighted_median(values: np.ndarray, weights: np.ndarray) -> float:
     return float(values[order][np.searchsorted(total, total[-1] / 2)])
 
 
-def group_row(key: tuple[pa.Scalar, ...], n: int, mean: np.ndarray, inverse: np.ndarray) -> pa.Table:
+def group_row(
+    key: tuple[pa.Scalar, ...], n: int, mean: np.ndarray, inverse: np.ndarray, log_det: float
+) -> pa.Table:
     level, lang, source = (part.as_py() for part in key)
     return pa.table(
         {
@@ -147,16 +157,42 @@ def group_row(key: tuple[pa.Scalar, ...], n: int, mean: np.ndarray, inverse: np.
             "n": pa.array([n], pa.int64()),
             "mean": pa.array([mean.tolist()], pa.list_(pa.float64())),
             "inverse": pa.array([inverse.ravel().tolist()], pa.list_(pa.float64())),
+            "log_det": pa.array([log_det], pa.float64()),
         }
     )
 
 
-def chi_square_median(p: int) -> float:
-    return p * (1 - 2 / (9 * p)) ** 3
+def chi_square_share(x: float, p: int) -> float:
+    """Share of a chi-square distribution below ``x``, by the series of the incomplete gamma function."""
+    if x <= 0:
+        return 0.0
+    a, half = p / 2, x / 2
+    term = total = math.exp(a * math.log(half) - half - math.lgamma(a + 1))
+    while term > 1e-17 * total:
+        a += 1
+        term *= half / a
+        total += term
+    return total
+
+
+def chi_square_quantile(share: float, p: int) -> float:
+    low, high = 0.0, 1000.0
+    for _ in range(60):
+        middle = (low + high) / 2
+        low, high = (middle, high) if chi_square_share(middle, p) < share else (low, middle)
+    return high
+
+
+def truncated_share(share: float) -> float:
+    """Variance, per dimension, of normal vectors cut at the distance that holds ``share`` of them."""
+    return chi_square_share(chi_square_quantile(share, P), P + 2) / share
 
 
-def concentrate(rows: DataFrame, groups: DataFrame, last: bool) -> DataFrame:
-    """One concentration step; the last one also scales the spread to the middle distance."""
+CUT = chi_square_quantile(LEVEL, P)  # squared distance from which a text is an outlier
+
+
+def concentrate(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """One concentration step."""
     apart = levels(rows).alias("r")
     joined = apart.join(groups, same_group(apart, groups)).select(
         *(apart[name] for name in (*KEYS, *NAMES)), distance_class(distance()).alias("class")
@@ -178,28 +214,35 @@ def concentrate(rows: DataFrame, groups: DataFrame, last: bool) -> DataFrame:
         for i, j in PAIRS:
             spread[i, j] = spread[j, i] = column(f"c_{i}_{j}")[kept].sum() / n - mean[i] * mean[j]
         spread /= UNIT**2
-        if last:
-            # The kept rows are the inner ones; widen by their cut-off as for normal data.
-            spread *= 1 / truncated_share(SHARE)
+        # The kept rows are the inner ones; widen by their cut-off as for normal data.
+        spread *= 1 / truncated_share(SHARE)
         # Bring each deviation up to its floor without changing the correlations' sign.
         spread += np.diag(np.maximum(np.array(FLOORS) ** 2 - np.diag(spread), 0) + 1e-6)
-        return group_row(key, int(total[-1]), mean / UNIT, np.linalg.inv(spread))
+        log_det = float(np.linalg.slogdet(spread)[1])
+        return group_row(key, int(total[-1]), mean / UNIT, np.linalg.inv(spread), log_det)
 
     return sums.groupBy(*KEYS).applyInArrow(fit, GROUP_SCHEMA)
 
 
-def truncated_share(share: float) -> float:
-    """Variance, per dimension, of normal vectors cut at the distance that holds ``share`` of them.
+def settle(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """Concentration steps until no group's determinant falls any more.
 
-    F(p+2, q) / share with q the chi-square quantile, both by the cube-root normal form.
+    A group whose determinant stays keeps its best estimate and takes no further
+    step.  The floors bound determinants from below and a step that counts lowers
+    one by ``FALL``, so the steps end.
     """
-    from statistics import NormalDist
-
-    z = NormalDist().inv_cdf(share)
-    q = P * (1 - 2 / (9 * P) + z * math.sqrt(2 / (9 * P))) ** 3
-    p = P + 2
-    inner = NormalDist().cdf(((q / p) ** (1 / 3) - (1 - 2 / (9 * p))) / math.sqrt(2 / (9 * p)))
-    return inner / share
+    current = materialise(groups.withColumn("falls", F.lit(True)), "quality-groups")
+    while not current.where("falls").isEmpty():
+        old = current.where("falls").alias("o")
+        new = materialise(concentrate(rows, current.where("falls")), "quality-steps").alias("n")
+        lower = F.col("n.log_det") < F.col("o.log_det")
+        moved = old.join(new, same_group(old, new)).select(
+            *(old[c] for c in (*KEYS, "n")),
+            *(F.when(lower, new[c]).otherwise(old[c]).alias(c) for c in ("mean", "inverse", "log_det")),
+            (F.col("n.log_det") < F.col("o.log_det") - FALL).alias("falls"),
+        )
+        current = materialise(current.where("NOT falls").unionByName(moved), "quality-groups")
+    return current
 
 
 def judge(
@@ -234,9 +277,7 @@ def judge(
         "quality-stats",
     )
     sound = stats.where("NOT base_failed")
-    groups = materialise(first_estimate(sound), "quality-groups")
-    for step in range(STEPS):
-        groups = materialise(concentrate(sound, groups, step == STEPS - 1), "quality-groups")
+    groups = settle(sound, first_estimate(sound))
     # Three rows per group, never more: one estimate each for the three levels.
     usable = groups.where(F.col("n") >= LEAST_ROWS)
     pick = lambda level, prefix: usable.where(F.col("level") == level).select(
