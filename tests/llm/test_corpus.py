@@ -325,6 +325,25 @@ def test_pii(docs, empty):
     assert list(red.values())[0].startswith("mail [email], [phone], [ip] or ")
 
 
+def test_pii_threshold_covers_all(spark, monkeypatch):
+    """Personal data rarer than one in the fit sample still sets a threshold, and near ones are added."""
+    monkeypatch.setattr(pii, "FIT_ROWS", 64)
+    rng = random.Random(6)
+    name = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    half = lambda: "".join(rng.choice("ABCDEFGHJKLMNPQR") for _ in range(9))
+    key = lambda: half() + "7K" + half()
+    rows = []
+    for i in range(100):
+        parts = [key() for _ in range(100)]
+        parts[50] = f"mail {name()}.{name()}@{name()}.org"
+        rows.append((i, " ".join(parts)))
+    odd = f"{name()}.{name()}@{name()}_{name()}.org"  # an underscore is no part of a base span
+    rows.append((100, f"{key()} mail {odd} {key()}"))
+    got = {r.doc_id: r.spans for r in pii.summarise(pii.spans(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert f"contact:26:{26 + len(odd)}" in got[100].split(",")
+    assert not any("key" in spans for i, spans in got.items() if i < 100)
+
+
 def test_packing(docs, empty):
     out = packing.pack(docs.unionByName(docs.limit(5)), lengths=(64, 256, 1024), shard_rows=20).collect()
     sizes = [len(words(r[1])) for r in corpus()]

@@ -4,10 +4,12 @@ Four strict patterns with checks give the base spans; they always stay.  High-
 recall generators propose further, overlapping spans: loose addresses, numbers,
 dotted numbers, keys.  Boosted trees judge a proposal by its format and by the
 text around it.  They learn from proposals of these documents: those on a base
-span are examples of personal data, the others are not.  Half of a bounded sample
-fits the trees, the other half calibrates the threshold: the lowest score from
-which ``PRECISION`` of the examples lie on base spans.  The trees become one SQL
-expression.  Of overlapping proposals above the threshold the best is added,
+span are examples of personal data, the others are not.  A bounded sample of
+each kind, from half of the proposals, fits the trees, which become one SQL
+expression.  All proposals outside that sample calibrate the threshold: the lowest
+score from which ``PRECISION`` of them lie on base spans.  Scores are whole steps
+of ``1 / SCORE_STEPS``, so this is one aggregation whose result does not grow
+with the documents.  Of overlapping proposals above the threshold the best is added,
 unless a base span overlaps it.
 
 All patterns are written so that a search is linear in the text: a run of
@@ -48,7 +50,8 @@ KINDS = [*BASE, *PROPOSED]
 # A text without the first pattern has no match of the second; it costs less to test.
 NEEDS = {"email": "@", "phone": "[+]", "contact": r"@|[(\[]at[)\]]"}
 BEFORE = 24  # characters before a span that serve as context
-FIT_ROWS = 8_192  # bound of the sample that trees and threshold are taken from
+FIT_ROWS = 8_192  # bound of the sample that the trees are fitted to
+SCORE_STEPS = 1_024  # of one unit of the score
 PRECISION = 0.98
 ROUNDS, DEPTH = 24, 3
 
@@ -154,21 +157,45 @@ def trees_as_column(model: boosting.Trees, columns: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a + b, (branch(t, 0) for t in range(len(model.value))), F.lit(model.start))
 
 
-def fit(sample: Sequence, n_features: int) -> tuple[boosting.Trees, float]:
-    """Trees from the even rows of the sample, and the calibrated threshold from the odd ones."""
+def fit_sample(proposals: DataFrame) -> tuple[list, Column]:
+    """Proposals to fit the trees to, as many of each kind, and the test for those left out.
+
+    Only rows of even hash are taken, so at least about half of each kind is left
+    to calibrate with.
+    """
+    h = F.xxhash64("row", "kind", "start")
+    taken, inside = [], F.lit(False)
+    for kind in (True, False):
+        rows = (
+            proposals.where((F.col("on_base") == kind) & (h % 2 == 0))
+            .select(h.alias("h"), "x", F.col("on_base").cast("int").alias("on_base"))
+            .orderBy("h", "x")
+            .limit(FIT_ROWS // 2)
+            .collect()
+        )
+        if rows:
+            inside = inside | ((F.col("on_base") == kind) & (h % 2 == 0) & (h <= F.lit(rows[-1]["h"])))
+        taken += rows
+    return taken, ~inside
+
+
+def fit(sample: Sequence, n_features: int) -> boosting.Trees | None:
+    """Trees from the sample; none without examples of both kinds."""
     x = np.array([row["x"] for row in sample], np.float64).reshape(len(sample), n_features)
     y = np.array([row["on_base"] for row in sample], np.float64)
-    model = boosting.fit(x[::2], y[::2], rounds=ROUNDS, depth=DEPTH, rate=0.3)
-    raw, truth = model.raw(x[1::2]), y[1::2]
-    order = np.argsort(-raw, kind="stable")
-    raw, right = raw[order], np.cumsum(truth[order])
-    share = right / np.arange(1, len(raw) + 1)
+    if not len(y) or y.min() == y.max():
+        return None
+    return boosting.fit(x, y, rounds=ROUNDS, depth=DEPTH, rate=0.3)
+
+
+def calibrate(scored: DataFrame) -> float:
+    """The lowest score from which ``PRECISION`` of all rows of ``scored`` lie on base spans."""
+    counts = scored.groupBy("score").agg(F.count_if("on_base").alias("right"), F.count("*").alias("rows"))
+    table = sorted((row["score"], row["right"], row["rows"]) for row in counts.collect())[::-1]
     # Equal scores stand or fall together.
-    last = np.append(raw[1:] != raw[:-1], True) if len(raw) else np.zeros(0, bool)
-    good = np.flatnonzero((share >= PRECISION) & last)
-    if not len(good) or y[::2].min() == y[::2].max():
-        return model, float("inf")
-    return model, float(raw[good[-1]])
+    raw, right, rows = (np.array(c) for c in zip(*table)) if table else (np.zeros(0),) * 3
+    good = np.flatnonzero((np.cumsum(right) >= PRECISION * np.cumsum(rows)) & (np.cumsum(right) > 0))
+    return float(raw[good[-1]]) if len(good) else float("inf")
 
 
 def spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -199,16 +226,14 @@ def spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     some = some.withColumn("on_base", on_base).withColumn("x", F.when(~F.col("base"), F.array(*x)))
     some = materialise(some.drop("gap", "number", "before", "after"), "pii-spans")
 
-    sample = (
-        some.where("NOT base")
-        .select("on_base", "x", F.xxhash64("row", "kind", "start").alias("h"), "row", "kind", "start")
-        .orderBy("h", "row", "kind", "start")
-        .limit(FIT_ROWS)
-        .select("x", F.col("on_base").cast("int").alias("on_base"))
-        .collect()
-    )
-    model, threshold = fit(sample, len(x))
-    score = trees_as_column(model, [F.col("x")[i] for i in range(len(x))])
+    proposals = some.where("NOT base")
+    sample, unseen = fit_sample(proposals)
+    model = fit(sample, len(x))
+    score, threshold = F.lit(None).cast("double"), float("inf")
+    if model is not None:
+        raw = trees_as_column(model, [F.col("x")[i] for i in range(len(x))])
+        score = F.round(raw * SCORE_STEPS) / SCORE_STEPS
+        threshold = calibrate(proposals.where(unseen).select("on_base", score.alias("score")))
     able = some.withColumn("score", F.when(~F.col("base") & ~F.col("on_base"), score))
     able = able.withColumn("able", F.coalesce(F.col("score") >= threshold, F.lit(False)))
     # Proposals above the threshold that hang together: a new group starts where
