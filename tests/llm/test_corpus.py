@@ -380,6 +380,21 @@ def test_substring_dedup(docs, empty):
     assert substring_dedup.remove_repeats(empty).count() == 0
 
 
+def test_mix_of_null_ids(spark):
+    """Rows without an id keep their own texts, and each source still meets its target."""
+    text = lambda n, mark: " ".join(f"{mark}{i}" for i in range(n))
+    rows = [(None, text(10, "p"), "a"), (None, text(1000, "q"), "a"), (None, text(40, "r"), "b"),
+            (7, text(30, "s"), "b"), (7, text(300, "t"), "b"), (8, text(20, "u"), None), (8, text(20, "u"), None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken, targets = defaultdict(int), {r.source: r.target for r in mixing.assign(table).collect()}
+    mixed = mixing.mixed_documents(table).collect()
+    for r in mixed:
+        taken[r.source] += len(words(r.text))
+        assert any((r.doc_id, r.source) == (i, s) and t.startswith(r.text) for i, t, s in rows)
+    assert taken == {s: int(t) for s, t in targets.items()}
+    assert any(len(words(r.text)) == 1000 for r in mixed)
+
+
 def test_null_ids_do_no_harm(spark, docs):
     odd = docs.withColumn("doc_id", F.when(F.col("doc_id") % 4 > 0, F.col("doc_id")))
     n = odd.count()

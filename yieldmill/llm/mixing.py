@@ -13,7 +13,7 @@ over tasks: inside ranges of the md5, and over the sums of the ranges.
 
 Defined results: null and empty texts have size 0 and positions like others, but
 nothing is taken; a null source is one source, ordered last; null ids are ordered
-first; repeated rows are separate documents of equal place; without any word all
+first; repeated rows are separate documents, one after the other; without any word all
 targets are 0; extra columns are not read, ``mixed_documents`` keeps them.
 """
 
@@ -101,12 +101,14 @@ def assign(
     """Per document: id, size, source_size, target, and the ``copies`` the mix takes.
 
     A copy has its number, the words taken of it and its position in training.
+    The columns in ``keep`` pass through and order rows of one id.
     """
     named = docs.select(
         F.col(doc_id).alias("doc"),
         F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         F.col(source).cast("string").alias("source"),
         F.coalesce(F.md5(F.col(doc_id).cast("string").cast("binary")), F.lit("")).alias("key"),
+        *keep,
     )
     sized = materialise(named, "mix-sizes")
     rows = sized.count()
@@ -122,7 +124,9 @@ def assign(
         sums.groupBy("source").agg(F.sum("words").alias("source_size")), share, limit, schedules
     )
     inside = (
-        Window.partitionBy("source", "range").orderBy("key", "doc", "size").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("source", "range")
+        .orderBy("key", "doc", "size", *keep)
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
     placed = sized.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
 
@@ -152,7 +156,7 @@ def assign(
 
     copies = F.filter(F.transform(passes, copy), lambda c: c["words"] > 0)
     return placed.select(
-        F.col("doc").alias(doc_id), "source", "size", "source_size", "target", copies.alias("copies")
+        F.col("doc").alias(doc_id), "source", "size", "source_size", "target", copies.alias("copies"), *keep
     )
 
 
@@ -167,20 +171,20 @@ def in_training_order(assigned: DataFrame, doc_id: str = "doc_id") -> DataFrame:
 def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The mix itself: one row per copy with the columns of ``docs``, in training order.
 
-    A cut copy has the first words of its text.  Rows that repeat an id share
-    their copies.
+    A cut copy has the first words of its text.  Each row has its own copies,
+    also where ids are null or repeat.
     """
-    assigned = assign(docs, doc_id=doc_id, text=text)
-    copies = (
-        assigned.groupBy(F.col(doc_id).alias("__llm_doc"))
-        .agg(F.max_by("copies", F.size("copies")).alias("__llm_copies"), F.max("size").alias("__llm_size"))
-        .withColumn("__llm_copy", F.explode("__llm_copies"))
-        .drop("__llm_copies")
+    # Rows of one key are equal in all columns, so one of them stands for the others.
+    whole = F.to_json(F.struct(*docs.columns), {"ignoreNullFields": "false"})
+    keyed = docs.withColumn("__llm_key", F.md5(whole.cast("binary")))
+    assigned = assign(keyed, ["__llm_key"], doc_id=doc_id, text=text)
+    copies = assigned.select(
+        "__llm_key", F.col("size").alias("__llm_size"), F.explode("copies").alias("__llm_copy")
     )
-    rows = docs.join(copies, F.col(doc_id).eqNullSafe(F.col("__llm_doc")))
+    rows = keyed.dropDuplicates(["__llm_key"]).join(copies, "__llm_key")
     pieces = F.regexp_extract_all(F.col(text), F.lit("[ \\t-\\r]*[^ \\t-\\r]+"), 0)
     words = F.col("__llm_copy.words")
     cut = F.when(words < F.col("__llm_size"), F.array_join(F.slice(pieces, 1, words.cast("int")), "")).otherwise(F.col(text))
-    order = [F.col("__llm_copy.position"), F.col(doc_id)]
+    order = [F.col("__llm_copy.position"), F.col(doc_id), F.col("__llm_key")]
     rows = rows.withColumn(text, cut).repartitionByRange(*order).sortWithinPartitions(*order)
     return rows.select(*docs.columns)
