@@ -44,8 +44,12 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents and the training sequences they stand in."""
-    return packing.pack(docs)
+    """Pieces of documents and the training sequences they stand in.
+
+    The mix is read in the order it was written: by file, whose name starts with
+    the number of its part, then by row.
+    """
+    return packing.pack(docs, order=[F.col("_metadata.file_path"), F.col("_metadata.row_index")])
 
 
 STAGES = [

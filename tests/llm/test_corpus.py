@@ -344,6 +344,27 @@ def test_pii_threshold_covers_all(spark, monkeypatch):
     assert not any("key" in spans for i, spans in got.items() if i < 100)
 
 
+def test_packing_keeps_the_order_of_the_mix(spark, tmp_path):
+    rng = random.Random(9)
+    ids = rng.sample(range(10_000), 400)
+    lengths = [rng.randint(100, 900) for _ in ids]
+    rows = [(i, " ".join(["w"] * n)) for i, n in zip(ids, lengths)]
+    parts = spark.sparkContext.parallelize(rows, 5)
+    spark.createDataFrame(parts, "doc_id long, text string").write.parquet(str(tmp_path / "mix"))
+    mixed = spark.read.parquet(str(tmp_path / "mix"))
+    at = {i: n for n, i in enumerate(ids)}
+    order = [F.col("_metadata.file_path"), F.col("_metadata.row_index")]
+    small = packing.pack(mixed, shard_rows=50, order=order).collect()
+    for out in (corpus_pipeline.pack(spark, mixed, "").collect(), small):
+        places = defaultdict(list)
+        for r in out:
+            places[r.sequence_id].append((at[r.doc_id], r.length))
+        means = [sum(a * n for a, n in places[s]) / sum(n for _, n in places[s]) for s in sorted(places)]
+        assert means == sorted(means) and sum(r.length for r in out) == sum(lengths)
+    shards = sorted({(r.sequence_id >> 32, at[r.doc_id]) for r in small}, key=lambda x: x[1])
+    assert [s for s, _ in shards] == [n // 50 for n in range(400)]
+
+
 def test_packing(docs, empty):
     out = packing.pack(docs.unionByName(docs.limit(5)), lengths=(64, 256, 1024), shard_rows=20).collect()
     sizes = [len(words(r[1])) for r in corpus()]

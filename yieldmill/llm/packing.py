@@ -9,6 +9,9 @@ can fill.  This is done for every choice of the longest length to open, the
 cheapest packing wins, and at last each sequence shrinks to the shortest
 permitted length that holds its contents.
 
+Given an ``order`` of training, shards are contiguous ranges of it, and the
+sequences of a shard are numbered by the mean place of their words in it.
+
 A document longer than the longest permitted length is cut into full sequences
 and one rest; no other document is cut.
 
@@ -25,7 +28,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yieldmill.operators.keys import number_rows
@@ -87,6 +90,7 @@ def pack(
     lengths: Sequence[int] = LENGTHS,
     cost: Callable[[int], float] = sequence_cost,
     shard_rows: int = SHARD_ROWS,
+    order: Sequence[Column] = (),
 ) -> DataFrame:
     """One row per piece: id, piece, first word, length, sequence_id, sequence_length, place in it."""
     lengths = sorted(lengths)
@@ -95,12 +99,20 @@ def pack(
         docs.select(
             F.col(doc_id).cast("long").alias("doc"),
             F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+            *(c.alias(f"order{i}") for i, c in enumerate(order)),
         ),
         "pack-sizes",
     )
-    shards = max(1, math.ceil(sized.count() / shard_rows))
-    # Numbers deal rows of one id over shards, and equal rows may swap places.
-    dealt = number_rows(sized, ["doc", "size"], "number").withColumn("shard", F.col("number") % shards)
+    in_order, rows = bool(order), sized.count()
+    shards = max(1, math.ceil(rows / shard_rows))
+    if in_order:
+        numbered = number_rows(sized, [f"order{i}" for i in range(len(order))], "number")
+        shard = F.floor((F.col("number") - 1) * shards / F.lit(max(rows, 1))).cast("long")
+    else:
+        # Numbers deal rows of one id over shards, and equal rows may swap places.
+        numbered = number_rows(sized, ["doc", "size"], "number")
+        shard = F.col("number") % shards
+    dealt = numbered.withColumn("shard", shard)
 
     def place(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         order = np.lexsort((table.column("number").to_numpy(), -table.column("size").to_numpy()))
@@ -119,6 +131,14 @@ def pack(
         number = np.concatenate((piece, full[rests], np.zeros(len(empty), np.int64)))
         sequence = np.concatenate((np.arange(len(whole)), np.array(chosen, np.int64) + len(whole), np.full(len(empty), -1)))
         capacity = np.concatenate((np.full(len(whole), longest), np.array(final, np.int64)[chosen], np.full(len(empty), -1)))
+        if in_order and (sequence >= 0).any():
+            some = sequence >= 0
+            at = table.column("number").to_numpy()[row]
+            at = at - at.min()
+            mean = np.bincount(sequence[some], (at * length)[some]) / np.bincount(sequence[some], length[some])
+            rank = np.empty(len(mean), np.int64)
+            rank[np.argsort(mean, kind="stable")] = np.arange(len(mean))
+            sequence[some] = rank[sequence[some]]
         # Pieces of a sequence stand in the order they were put there.
         by = np.argsort(sequence, kind="stable")
         before = np.cumsum(length[by]) - length[by]
