@@ -344,6 +344,19 @@ def test_pii_threshold_covers_all(spark, monkeypatch):
     assert not any("key" in spans for i, spans in got.items() if i < 100)
 
 
+def test_pii_chain_is_redacted_whole(spark, monkeypatch):
+    """Proposals that hang together only through another one are added too."""
+    monkeypatch.setattr(pii, "calibrate", lambda scored: -1e9)
+    chain = "12 345678901234AB-9 555 1234"
+    rows = [(0, f"x {chain} y")] + [(i, f"mail a{i}.b@c.de or 300.1.1.{i}") for i in range(1, 60)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.summarise(pii.spans(table)).collect()}
+    want = {(m.start(), m.end()) for p in (r"[0-9]([ ().-]{0,2}[0-9])+", r"[A-Za-z0-9_=+/-]{12,}") for m in re.finditer(p, rows[0][1])}
+    assert len(want) == 3
+    assert {tuple(map(int, s.split(":")[1:])) for s in got[0].split(",")} == want
+    assert [r.text for r in pii.redact(table).where("doc_id = 0").collect()] == ["x [number] y"]
+
+
 def test_packing_keeps_the_order_of_the_mix(spark, tmp_path):
     rng = random.Random(9)
     ids = rng.sample(range(10_000), 400)

@@ -9,8 +9,8 @@ each kind, from half of the proposals, fits the trees, which become one SQL
 expression.  All proposals outside that sample calibrate the threshold: the lowest
 score from which ``PRECISION`` of them lie on base spans.  Scores are whole steps
 of ``1 / SCORE_STEPS``, so this is one aggregation whose result does not grow
-with the documents.  Of overlapping proposals above the threshold the best is added,
-unless a base span overlaps it.
+with the documents.  All proposals above the threshold are added, unless a base
+span overlaps them; overlapping ones are redacted as one.
 
 All patterns are written so that a search is linear in the text: a run of
 characters is entered at its start only and never given back.
@@ -235,18 +235,8 @@ def spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
         score = F.round(raw * SCORE_STEPS) / SCORE_STEPS
         threshold = calibrate(proposals.where(unseen).select("on_base", score.alias("score")))
     able = some.withColumn("score", F.when(~F.col("base") & ~F.col("on_base"), score))
-    able = able.withColumn("able", F.coalesce(F.col("score") >= threshold, F.lit(False)))
-    # Proposals above the threshold that hang together: a new group starts where
-    # none before reaches.
-    chosen = Window.partitionBy("row", "able").orderBy("start", "end")
-    before = F.max("end").over(chosen.rowsBetween(Window.unboundedPreceding, -1))
-    new = (F.coalesce(before, F.lit(-1)) <= F.col("start")).cast("int")
-    grouped = able.withColumn("new", new).withColumn("group", F.sum("new").over(chosen.rowsBetween(Window.unboundedPreceding, 0)))
-    pick = Window.partitionBy("row", "able", "group").orderBy(
-        F.col("score").desc_nulls_last(), (F.col("start") - F.col("end")), "start", "kind"
-    )
-    grouped = grouped.withColumn("added", F.col("able") & (F.row_number().over(pick) == 1))
-    kept = grouped.select("row", "doc", "kind", "start", "end", "match", "base", "added")
+    able = able.withColumn("added", F.coalesce(F.col("score") >= threshold, F.lit(False)))
+    kept = able.select("row", "doc", "kind", "start", "end", "match", "base", "added")
     nothing = hits.where("kind IS NULL OR number = 0").select("row", "doc").distinct()
     none = nothing.select("row", "doc", *(F.lit(None).cast(t).alias(n) for n, t in (
         ("kind", "string"), ("start", "long"), ("end", "long"), ("match", "string"),
@@ -274,7 +264,7 @@ def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     Rows that repeat an id share their spans, as equal texts have equal spans.
     """
     chosen = spans(docs, doc_id, text).where("base OR added")
-    # Overlapping base spans of several kinds become one, named after the first.
+    # Overlapping spans of several kinds become one, named after the first.
     order = Window.partitionBy("doc").orderBy("start", "end")
     before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     chosen = chosen.select("doc", "kind", "start", "end").distinct()
