@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from yieldmill.llm import (
     chat,
+    divergence,
+    lexical_search,
     line_dedup,
     mixing,
     ngram_join,
@@ -16,6 +18,7 @@ from yieldmill.llm import (
     quality_rules,
     substring_dedup,
     topk,
+    url_rules,
 )
 from yieldmill.llm.registry import ORACLE, QUERIES, query
 
@@ -230,3 +233,107 @@ def op3_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.summarise(pii.spans(table(spark, folder, "documents")))
+
+
+URL_RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
+
+
+@query("""
+    WITH rules(rhost, rpath, verdict) AS (
+        VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+               ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+    rests AS (
+        SELECT page_id, CASE WHEN position('://' IN url) > 0
+                        THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
+    urls AS (
+        SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS raw,
+               regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path
+        FROM rests),
+    hosts AS (
+        SELECT page_id, path, row_number() OVER () AS n, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz') AS host FROM urls),
+    fits AS (
+        SELECT n, rhost || rpath AS rule, verdict,
+               row_number() OVER (PARTITION BY n ORDER BY length(rhost || rpath) DESC, length(rhost) DESC) AS k
+        FROM hosts JOIN rules
+        ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath))
+    SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+    FROM hosts LEFT JOIN fits ON fits.n = hosts.n AND k = 1""")
+def op11_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_rules.judge(table(spark, folder, "pages").select("page_id", "url"), rules).drop("url")
+
+
+@query("""
+    WITH d AS (
+        SELECT row_number() OVER () AS n, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+    t AS (SELECT n, lang, source, unnest(w) AS term FROM d),
+    vocab AS (SELECT lang, term FROM t GROUP BY ALL HAVING count(DISTINCT n) >= 10),
+    sizes AS (SELECT lang, count(*) AS v FROM vocab GROUP BY lang),
+    c AS (SELECT lang, source, term, count(*) AS k FROM t JOIN vocab USING (lang, term) GROUP BY ALL),
+    groups AS (SELECT DISTINCT lang, source FROM d),
+    totals AS (SELECT lang, source, sum(k) AS total FROM c GROUP BY ALL),
+    full_ AS (
+        SELECT g.lang, g.source, vocab.term, coalesce(k, 0) AS k,
+               1 + (1000000000::HUGEINT * (coalesce(k, 0) + 2)) // (coalesce(total, 0) + 2 * v)::HUGEINT AS p
+        FROM groups g JOIN vocab ON vocab.lang = g.lang JOIN sizes ON sizes.lang = g.lang
+        LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = vocab.term
+        LEFT JOIN totals ON totals.lang = g.lang AND totals.source = g.source),
+    langs AS (
+        SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(k) + 2))
+               // (sum(sum(k)) OVER (PARTITION BY lang) + 2 * any_value(v))::HUGEINT AS q
+        FROM c JOIN sizes USING (lang) GROUP BY lang, term),
+    pairs AS (
+        SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+        FROM full_ a JOIN full_ b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+    every AS (
+        SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+        FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+        UNION ALL
+        SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // (p + q) AS BIGINT)
+        FROM full_ JOIN langs USING (lang, term) WHERE k > 0 AND p > q),
+    ranked AS (
+        SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+        FROM every)
+    SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10""")
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
+@query("""
+    WITH d AS (
+        SELECT doc_id, row_number() OVER () AS row, regexp_extract_all(translate(coalesce(text, ''),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+    b AS (
+        SELECT item_id, row_number() OVER () AS item, unnest(regexp_extract_all(translate(coalesce(text, ''),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark),
+    asked AS (SELECT item, any_value(item_id) AS item_id, term, count(*) AS times FROM b GROUP BY item, term),
+    totals AS (SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS words FROM d WHERE len(w) > 0),
+    tf AS (
+        SELECT row, doc_id, len(w) AS n, term, count(*) AS tf
+        FROM (SELECT row, doc_id, w, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM b) GROUP BY ALL),
+    weights AS (
+        SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS weight
+        FROM tf, totals GROUP BY term),
+    impacts AS (
+        SELECT row, doc_id, term, weight, (1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // words)) AS impact
+        FROM tf JOIN weights USING (term), totals),
+    scores AS (
+        SELECT item, any_value(item_id) AS item_id, doc_id, row, CAST(sum(times * weight * impact) AS BIGINT) AS score
+        FROM asked JOIN impacts USING (term) GROUP BY item, doc_id, row),
+    ranked AS (
+        SELECT *, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+        FROM scores WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10""")
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
