@@ -15,6 +15,8 @@ from shopfloor.registry import query
 from shopfloor.views import load
 from yieldmill.functions.prodtime import in_window, ntz, span_window
 from yieldmill.operators import loads
+from yieldmill.operators.audit import Batch
+from yieldmill.plans import schemas, staging
 from yieldmill.session import scratch_path
 from yieldmill.sources.lake import Lake, Table
 
@@ -139,16 +141,21 @@ def replace_twice(
     return table.read(spark)
 
 
+AUDIT_NAMES = {"batch": "INF_BATCH_ID", "session": "INF_SESS_NAME"}
+
+
 @query(replaced_sql("batch = 10 AND session = 'daily'"))
 def replace_batch(spark: SparkSession, folder: str) -> DataFrame:
-    where = (F.col("batch") == 10) & (F.col("session") == "daily")
-    return replace_twice(
-        spark,
-        folder,
-        ("session", "batch"),
-        where,
-        lambda table, rows: loads.replace_values(table, rows, {"batch": 10, "session": "daily"}),
-    )
+    """A batch of one session in a table by machine, whose partitions it has to look for."""
+    schema = T.StructType([T.StructField(AUDIT_NAMES.get(f.name, f.name), f.dataType) for f in SCHEMA])
+    table = Lake(scratch_path(spark, "lake")).table("process", "events", schema, ("machine",))
+    rows = seed(spark, folder).withColumnsRenamed(AUDIT_NAMES)
+    loads.create_table(spark, table)
+    loads.append(table, rows)
+    fresh = corrected(rows.filter((F.col("INF_BATCH_ID") == 10) & (F.col("INF_SESS_NAME") == "daily")))
+    for _ in range(2):
+        loads.replace_batch(table, fresh, 10, "daily")
+    return table.read(spark).withColumnsRenamed({new: old for old, new in AUDIT_NAMES.items()})
 
 
 @query(
@@ -163,7 +170,7 @@ def replace_window(spark: SparkSession, folder: str) -> DataFrame:
         folder,
         ("day",),
         in_window("ts", window),
-        lambda table, rows: loads.replace_window(table, rows, "ts", window),
+        lambda table, rows: loads.replace_window(table, rows, "ts", window, day="day"),
     )
 
 
@@ -195,17 +202,78 @@ def replace_day(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query(replaced_sql("machine = 'click' AND day = DATE '2024-01-17'", keep="false"))
+CLICKS = "machine = 'click' AND day IN (DATE '2024-01-17', DATE '2024-01-18')"
+
+
+@query(replaced_sql(CLICKS, keep="day = DATE '2024-01-17'"))
 def replace_machine_day(spark: SparkSession, folder: str) -> DataFrame:
-    """A rerun that finds no rows leaves an empty machine and day."""
-    values = {"machine": "click", "day": date(2024, 1, 17)}
-    return replace_twice(
-        spark,
-        folder,
-        ("machine", "day"),
-        F.lit(False),
-        lambda table, rows: loads.replace_values(table, rows, values),
+    """A machine's day is loaded again; a rerun of the next day finds no rows and empties it."""
+    table, rows = seeded(spark, folder, "machine", "day")
+    days = (date(2024, 1, 17), date(2024, 1, 18))
+    own = corrected(rows.filter((F.col("machine") == "click") & (F.col("day") == F.lit(days[0]))))
+    for day, fresh in zip(days * 2, (own, own.limit(0)) * 2):
+        loads.replace_values(table, fresh, {"machine": "click", "day": day})
+    return table.read(spark)
+
+
+@query(
+    f"""WITH seed AS ({SEED_SQL})
+        SELECT 'append' AS load, 0 AS deleted, count(*) AS inserted FROM seed
+        UNION ALL SELECT 'day', count(*), count(*) FILTER (session = 'daily') FROM seed
+        WHERE day = DATE '2024-01-17'
+        UNION ALL SELECT 'window', count(*), count(*) FILTER (machine <> 'error') FROM seed
+        WHERE ts BETWEEN TIMESTAMP '2024-01-09 07:00:01' AND TIMESTAMP '2024-01-15 07:00:00'
+        UNION ALL SELECT 'where', count(*), 0 FROM seed
+        WHERE value > 250 AND NOT (day = DATE '2024-01-17' AND session <> 'daily')
+          AND NOT (machine = 'error' AND ts BETWEEN TIMESTAMP '2024-01-09 07:00:01'
+                                                AND TIMESTAMP '2024-01-15 07:00:00')
+        UNION ALL SELECT 'full', NULL, count(*) FROM seed WHERE machine = 'error'"""
+)
+def load_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """What each load says it removed and wrote, counted inside the writes."""
+    table, rows = new_table(spark, "day"), seed(spark, folder)
+    loads.create_table(spark, table)
+    window = span_window(date(2024, 1, 9), date(2024, 1, 15))
+    day = date(2024, 1, 17)
+    daily = rows.filter((F.col("day") == F.lit(day)) & (F.col("session") == "daily"))
+    reports = {
+        "append": loads.append(table, rows),
+        "day": loads.replace_values(table, daily, {"day": day}),
+        "window": loads.replace_window(table, rows.filter("machine <> 'error'"), "ts", window, day="day"),
+        "where": loads.replace_where(table, rows.limit(0), F.col("value") > 250),
+        "full": loads.load_full(table, rows.filter("machine = 'error'")),
+    }
+    found = [(name, report.deleted, report.inserted) for name, report in reports.items()]
+    return spark.createDataFrame(found, "load string, deleted long, inserted long")
+
+
+@query(
+    """SELECT 'EIS_JIT_CELL' AS table_name, count(*) AS rows_before, 0 AS rows_after FROM supplier
+       UNION ALL SELECT 'EIS_MACHINE', count(*), 0 FROM part"""
+)
+def truncate_layer(spark: SparkSession, folder: str) -> DataFrame:
+    """Two staging tables, filled and then reset as before an initial load."""
+    lake = Lake(scratch_path(spark, "lake"))
+    cells = load(spark, folder, "supplier").select(
+        F.col("s_name").alias("JIT_CELL_NO"),
+        *[F.lit("x").alias(name) for name in ("LINE_NO", "ROOM", "LOCATION", "JIT_CELL_DIGIT")],
+    )
+    machines = load(spark, folder, "part").select(
+        F.col("p_partkey").cast("string").alias("MACHINE_NO"), F.col("p_name").alias("MACHINE_NAME")
     )
+    tables = {
+        name: schemas.staging_table(lake, name, rows.schema)
+        for name, rows in (("EIS_JIT_CELL", cells), ("EIS_MACHINE", machines))
+    }
+    loads.truncate_all(spark, list(tables.values()))
+    batch = Batch(1, datetime(2024, 3, 1, 7, 15))
+    filled = {
+        name: staging.stage_full(tables[name], rows, name, "WA", batch).inserted
+        for name, rows in (("EIS_JIT_CELL", cells), ("EIS_MACHINE", machines))
+    }
+    loads.truncate_all(spark, list(tables.values()))
+    found = [(name, filled[name], table.read(spark).count()) for name, table in tables.items()]
+    return spark.createDataFrame(found, "table_name string, rows_before long, rows_after int")
 
 
 @query(replaced_sql("session = 'initial' AND ts >= TIMESTAMP '2024-01-25 00:00:00'"))

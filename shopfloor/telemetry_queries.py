@@ -10,6 +10,7 @@ from shopfloor.registry import query
 from shopfloor.views import load, sql
 from yieldmill import sources, streaming
 from yieldmill.functions import spc
+from yieldmill.operators import loads
 from yieldmill.operators.audit import Batch
 from yieldmill.plans import marts, schemas, telemetry
 from yieldmill.session import scratch_path
@@ -235,10 +236,10 @@ def limits_csv(spark: SparkSession, folder: str) -> DataFrame:
     return telemetry.control_limits(raw)
 
 
-def staged_events(events: DataFrame, table_columns: list[str]) -> DataFrame:
+def staged_events(events: DataFrame) -> DataFrame:
     """Streamed rows as the staging table holds them."""
     audited = telemetry.audited_events(events, "telemetry", BATCH)
-    return audited.withColumn("COLLECTED_DAY", F.to_date("COLLECTEDDATE")).select(table_columns)
+    return audited.withColumn("COLLECTED_DAY", F.to_date("COLLECTEDDATE"))
 
 
 EVENT_COLUMNS = [
@@ -256,9 +257,10 @@ EVENT_COLUMNS = [
 def run_stream(spark: SparkSession, rows: DataFrame) -> DataFrame:
     lake = Lake(scratch_path(spark, "lake"))
     table = schemas.telemetry_staging_table(lake)
-    staged = staged_events(rows, table.columns)
+    loads.create_table(spark, table)
     checkpoint = scratch_path(spark, "stream")
-    streaming.stream_append(staged, table, checkpoint).awaitTermination()
+    for _ in range(2):  # the second start finds nothing new
+        streaming.stream_append(staged_events(rows), table, checkpoint).awaitTermination()
     return table.read(spark).select(EVENT_COLUMNS)
 
 

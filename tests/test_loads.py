@@ -8,7 +8,7 @@ from conftest import values
 from yieldmill.functions.prodtime import in_window
 from yieldmill.operators import loads
 from yieldmill.plans import schemas
-from yieldmill.sources import with_source_file
+from yieldmill.sources import folders, with_source_file
 from yieldmill.sources.files import read_csv
 from yieldmill.sources.lake import Lake, Table
 
@@ -127,6 +127,110 @@ def test_replace_window_limits_the_new_rows(spark, lake):
     assert made.read(spark).filter(in_window("ts", window)).count() == 2
 
 
+def failing(spark, *data):
+    """Rows of which the last cannot be computed: the write fails on the way."""
+    bad = F.when(F.col("id") == data[-1][0], F.raise_error(F.lit("broken row"))).otherwise(F.col("v"))
+    return rows(spark, *data).repartition(3, "id").withColumn("v", bad.cast("string"))
+
+
+@pytest.mark.parametrize("by", PARTITIONS)
+def test_a_load_that_fails_leaves_the_old_rows(spark, lake, by):
+    made = table(spark, lake, *by)
+    before = content(spark, made)
+    new = failing(spark, (6, "a", "2024-01-02", "n"), (7, "a", "2024-01-02", "n"))
+    values_ = {"machine": "a", "day": date(2024, 1, 2)}
+    for load in (
+        lambda: loads.load_full(made, new),
+        lambda: loads.replace_table(made, new),
+        lambda: loads.replace_values(made, new, values_),
+        lambda: loads.replace_where(made, new, F.col("machine") == "a"),
+        lambda: loads.replace_by_keys(made, new, rows(spark, *SEED), ["machine", "day"]),
+        lambda: loads.append(made, new),
+    ):
+        with pytest.raises(PySparkException, match="broken row"):
+            load()
+        assert content(spark, made) == before
+    # The folders that failed writes left do not stand in the way.
+    loads.load_full(made, rows(spark, (9, "z", "2024-01-09", "x")))
+    assert set(content(spark, made)) == {9}
+
+
+def test_a_refresh_keeps_the_version_that_readers_hold(spark, lake):
+    made = table(spark, lake, "machine")
+    held = made.read(spark)
+    loads.load_full(made, rows(spark, (9, "z", "2024-01-09", "x")))
+    assert held.count() == 5 and made.read(spark).count() == 1
+    for _ in range(3):
+        loads.load_full(made, made.read(spark))
+    assert len(folders.names(spark, made.path)) == 2
+
+
+def dayed(spark, lake):
+    """Hourly rows of ten days in a table by day, and the same rows with new values."""
+    schema = schemas.ddl("id int, ts timestamp_ntz, day date, v string")
+    made = lake.table("staging", "d", schema, ("day",))
+    hours = spark.range(240).select(
+        F.col("id").cast("int").alias("id"),
+        (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("id").cast("int"))).alias("ts"),
+    )
+    every = hours.select("*", F.to_date("ts").alias("day"), F.lit("old").alias("v"))
+    loads.create_table(spark, made)
+    loads.append(made, every)
+    return made, every.withColumn("v", F.lit("new"))
+
+
+def test_replace_window_touches_the_days_of_the_window(spark, lake, monkeypatch):
+    made, new = dayed(spark, lake)
+    window = (datetime(2024, 1, 3, 7, 0, 1), datetime(2024, 1, 5, 7, 0))
+    plans, writes = [], []
+    write = loads._overwrite
+    monkeypatch.setattr(loads, "_overwrite", lambda t, df: (plans.append(df), write(t, df)))
+    monkeypatch.setattr(loads, "materialise", lambda df, label: writes.append(label) or df)
+    files = lambda: {r[0] for r in made.read(spark).filter("day NOT BETWEEN '2024-01-03' AND '2024-01-05'")
+                     .select(F.input_file_name()).distinct().collect()}
+    before = files()
+    for _ in range(2):
+        report = loads.replace_window(made, new, "ts", window, day="day")
+        assert (report.deleted, report.inserted) == (48, 48)
+    assert made.read(spark).count() == 240 and files() == before
+    assert made.read(spark).filter("v = 'new'").count() == 48
+    # The old rows are read with a filter on partitions, and no row is written elsewhere.
+    plan = plans[0]._jdf.queryExecution().executedPlan().toString()
+    scan = plan.split("PartitionFilters:")[1].split("PushedFilters")[0]
+    assert "2024-01-03" in scan and "2024-01-05" in scan and not writes
+    # A window without new rows empties its whole day, whose folder goes.
+    gone = (datetime(2024, 1, 7), datetime(2024, 1, 7, 23))
+    assert loads.replace_window(made, new.limit(0), "ts", gone, day="day").deleted == 24
+    assert "day=2024-01-07" not in folders.names(spark, made.location(spark))
+    assert made.read(spark).count() == 216
+    with pytest.raises(PySparkException, match="outside"):
+        loads.replace_where(made, new, F.lit(True), {"day": loads.Between(date(2024, 1, 1), date(2024, 1, 2))})
+
+
+def test_touched_partitions_stay_off_the_driver(spark, lake):
+    """Partitions far apart are rewritten, those between them are not."""
+    made, new = dayed(spark, lake)
+    stamp = lambda: {r.day: r.f for r in made.read(spark).groupBy("day").agg(F.max("_metadata.file_path").alias("f")).collect()}
+    before, seen = stamp(), []
+    where = F.col("id").isin(5, 215)
+    report = loads.replace_where(made, new.filter(where), where, before=seen.append)
+    assert (report.deleted, report.inserted) == (2, 2)
+    assert values(seen[0]) == [(date(2024, 1, 1),), (date(2024, 1, 9),)]
+    changed = {day for day, file in stamp().items() if file != before[day]}
+    assert changed == {date(2024, 1, 1), date(2024, 1, 9)}
+    assert values(made.read(spark).filter("v = 'new'"), "id") == [(215,), (5,)]
+
+
+def test_counts_come_from_the_write(spark, lake):
+    made = table(spark, lake, "machine")
+    assert loads.append(made, rows(spark, *SEED)).inserted == 5
+    assert loads.append(made, rows(spark, *SEED).limit(0)).inserted == 0
+    assert loads.load_full(made, rows(spark, *SEED), F.col("id") < 3) == loads.LoadReport(None, 2)
+    report = loads.overwrite_partitions(made, rows(spark, (8, "a", "2024-01-01", "n")))
+    assert report.inserted == 1 and set(content(spark, made)) == {8}
+    assert loads.replace_values(made, rows(spark, *SEED).limit(0), {"machine": "none"}) == loads.LoadReport(0, 0)
+
+
 def test_full_loads_and_self_replace(spark, lake):
     made = table(spark, lake, "machine")
     loads.load_full(made, rows(spark, (9, "z", "2024-01-09", "x")), F.col("id") > 0)
@@ -137,7 +241,22 @@ def test_full_loads_and_self_replace(spark, lake):
 
 def test_every_table_can_be_created_and_reset(spark, lake):
     tables = schemas.all_tables(lake)
-    assert len({t.path for t in tables}) == len(tables) == 33
+    names = {"/".join(t.path.rsplit("/", 2)[1:]) for t in tables}
+    assert len(names) == len(tables)
+    assert {
+        *[f"staging/{name}" for name in schemas.SOURCE_COLUMNS],
+        *[f"staging/STAGING_DTC_TRANSACTION{end}" for end in ("", "_REDIS", "_TEST")],
+        *[f"master/{name}" for name in schemas.MASTER_COLUMNS],
+        *[f"process/{name}" for name in schemas.PROCESS_COLUMNS],
+        "process/FACT_DATA_CON_TRANSACTION_TEST",
+        "mart/CUMULATIVE_YIELD",
+        "mart/DATA_CON_TRANSACTION",
+        "mart/DATA_CON_TRANSACTION_TEST",
+        "control/INF_BATCH_ID_CTRL",
+        "control/LOAD_SLICES",
+        "control/CHANGED_DAYS",
+        "control/MART_BUILDS",
+    } == names
     for made in tables:
         assert all(name in made.columns for name in made.partition_by)
     some = tables[:2] + tables[-3:]

@@ -245,7 +245,7 @@ def test_lineage_of_runs_with_two_parents(spark, latest):
     """Every third run of a chain is merged from two runs."""
     rng = random.Random(7)
     edges = []
-    for i in range(1, 14):
+    for i in range(1, 25):
         edges.append((f"m{i * 37 % 61:02d}", f"m{(i - 1) * 37 % 61:02d}"))
         if i > 3 and i % 3 == 0:
             edges.append((f"m{i * 37 % 61:02d}", f"m{rng.randrange(i - 1) * 37 % 61:02d}"))
@@ -313,6 +313,34 @@ def test_preview_counts_what_the_joins_give(spark):
     assert tuple(audit.merge_preview(target, source, ["k"], ["v"]).first()) == (1, 2)
 
 
+def test_one_pass_merge_equals_its_parts(spark):
+    target = spark.createDataFrame(
+        [(1, "a", "x"), (2, "b", "x"), (3, "c", None), (4, None, "x"), (5, "d", "x"), (6, "d", "x")],
+        "id int, k string, v string",
+    )
+    source = spark.createDataFrame(
+        [("a", "y", 1), ("b", "x", 1), ("c", "y", 1), (None, "y", 1), (None, "z", 1), ("n", "y", 1), ("n", "z", 0)],
+        "k string, v string, w int",
+    )
+    differs = merge.status_changed("v")
+    found = merge.merge(target, source, ["k"], values=["v"], when=differs)
+    assert values(found.target) == values(merge.upsert_update(target, source, ["k"], ["v"], when=differs))
+    assert values(found.new) == values(merge.rows_to_insert(target, source, ["k"]))
+    assert (found.updated, found.inserted) == (1, 4)
+    assert (found.updated, found.inserted) == tuple(audit.merge_preview(target, source, ["k"], ["v"]).first())
+    some = merge.merge(target, source, ["k"], insert_when=lambda new: new["w"] == 1, nullable=["k"])
+    assert values(some.target) == values(target) and (some.updated, some.inserted) == (0, 1)
+    none = merge.merge(target.limit(0), source.limit(0), ["k"], values=["v"])
+    assert none.target.count() == none.inserted == none.updated == 0
+    plan = merge.merge_actions(target, source, ["k"], ["v"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1 and "Join FullOuter" in plan
+    with pytest.raises(Exception, match="several source rows"):
+        merge.merge(target, source.unionByName(source), ["k"], values=["v"])
+    # Two source rows of a known key are no error where nothing is updated.
+    twice = merge.merge(target, source.unionByName(source), ["k"])
+    assert values(twice.target) == values(target) and twice.inserted == 8
+
+
 def test_audit_columns_and_counts(spark, tmp_path):
     batch = audit.Batch(3, datetime(2024, 3, 5, 7, 15))
     df = spark.range(5).withColumn("name", F.lit("x"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import values
 from yieldmill.functions.prodtime import production_window
+from yieldmill.operators import loads
 from yieldmill.operators.audit import Batch
 from yieldmill.plans import dims, facts, marts, schemas
 from yieldmill.sources.lake import Lake
@@ -206,6 +207,44 @@ def test_initial_staging(spark, tmp_path):
     assert staged.count() == 6
 
 
+def mart_rows(house, spark):
+    return values(schemas.mart_table(house.lake, "CUMULATIVE_YIELD").read(spark))
+
+
+def test_the_mart_follows_the_changed_days(house, spark, monkeypatch):
+    """A second build reads the days that loads have changed, and equals a whole one."""
+    house.build_yield_mart(whole=True)
+    before = mart_rows(house, spark)
+    read = []
+    plain = marts.mart_yield
+    monkeypatch.setattr(marts, "mart_yield", lambda fact, *dims: read.append(fact) or plain(fact, *dims))
+    house.build_yield_mart()
+    assert read[-1].count() == 0 and mart_rows(house, spark) == before
+    # Another day: the moves of 1 March, of which 9 pieces enter and leave.
+    monkeypatch.setattr(marts, "mart_yield", plain)
+    earlier = Batch(1, datetime(2024, 3, 2, 7, 15))
+    house.refresh_dates(date(2024, 2, 24), date(2024, 3, 8), earlier, "WA")
+    for name in ("EIS_WIP_FA", "EIS_WIP_FA_WIP_TRANS"):
+        house.stage(name, "WA", sources(spark)[name], earlier)
+    weeks = source(spark, "EIS_WORK_WEEK", ("2024", "Q1", "2", "WW09", datetime(2024, 2, 24), datetime(2024, 3, 2)))
+    house.stage("EIS_WORK_WEEK", "WA", weeks, earlier)
+    house.refresh_dates(date(2024, 2, 24), date(2024, 3, 1), earlier, "WA")
+    house.rerun_runcard_fact("WA", earlier, date(2024, 3, 1), date(2024, 3, 2))
+    monkeypatch.setattr(marts, "mart_yield", lambda fact, *dims: read.append(fact) or plain(fact, *dims))
+    house.build_yield_mart()
+    days = {row.DATE_KEY for row in read[-1].select("DATE_KEY").distinct().collect()}
+    assert len(days) == 1
+    after = mart_rows(house, spark)
+    assert len(after) == len(before) + 1 and set(before) < set(after)
+    house.build_yield_mart(whole=True)
+    assert mart_rows(house, spark) == after
+    # A day that a rerun empties leaves the mart.
+    house.stage("EIS_WIP_FA", "WA", sources(spark)["EIS_WIP_FA"].limit(0), earlier)
+    assert house.rerun_runcard_fact("WA", earlier, date(2024, 3, 1), date(2024, 3, 2)).deleted == 1
+    house.build_yield_mart()
+    assert mart_rows(house, spark) == before
+
+
 def test_conversion_renames_the_card(house, spark):
     batch = Batch(1, AS_OF)
     before = values(house.master("SFC_RUNCARD_DIM").filter("PLANT = 'WA'"), "RUNCARD_NO_KEY")
@@ -216,6 +255,18 @@ def test_conversion_renames_the_card(house, spark):
             "RUNCARD_NO_KEY", "RUNCARD_NO", "FROM_RUN", "EER_NO",
         )
         assert got == [(before[0][0], "R1c", "R1", "E1")]
+    other = schemas.master_table(house.lake, "SFC_RUNCARD_DIM")
+    far = other.read(spark).filter("PLANT = 'WA'").withColumns(
+        {"RUNCARD_NO_KEY": F.lit(105_000_000), "KEY_BLOCK": F.lit(105), "RUNCARD_NO": F.lit("far")}
+    )
+    loads.append(other, far)
+    stamps = lambda: dict(values(other.read(spark).groupBy("KEY_BLOCK").agg(F.max("_metadata.file_path"))))
+    held = stamps()
+    house.reload_runcards("WA", batch, WINDOW)
+    house.convert_runs("WA", batch)
+    changed = {block for block, file in stamps().items() if held.get(block) != file}
+    assert changed == {100}
+    loads.replace_where(other, far.limit(0), F.col("RUNCARD_NO") == "far")
     house.reload_runcards("WA", batch, WINDOW)
     got = values(house.master("SFC_RUNCARD_DIM").filter("PLANT = 'WA'"), "RUNCARD_NO")
     assert got == [("R1",)]

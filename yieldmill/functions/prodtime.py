@@ -35,6 +35,12 @@ def span_window(first: date, last: date) -> tuple[datetime, datetime]:
     return datetime.combine(first, DAY_START), datetime.combine(last, SHIFT_CHANGE)
 
 
+def window_days(window: tuple[datetime, datetime]) -> tuple[date, date]:
+    """First and last production day that a closed window meets."""
+    start = timedelta(hours=DAY_START.hour, minutes=DAY_START.minute, seconds=DAY_START.second)
+    return (window[0] - start).date(), (window[1] - start).date()
+
+
 def in_window(ts: Column | str, window: tuple[datetime, datetime]) -> Column:
     """True inside the closed window; compares the bare column with literals."""
     column = F.col(ts) if isinstance(ts, str) else ts
@@ -82,6 +88,12 @@ def production_start(ts: Column | str, gap: str = "drop") -> Column:
     return F.when(inside | column.isNull(), start).otherwise(start + F.expr("INTERVAL '1' DAY"))
 
 
+def transfer_day(ts: Column | str) -> Column:
+    """Calendar day on which the production day of ``ts`` starts, also in the gap before 07:00:01."""
+    column = F.col(ts) if isinstance(ts, str) else ts
+    return F.to_date(column.cast("timestamp_ntz") - F.expr("INTERVAL '07:00:01' HOUR TO SECOND"))
+
+
 def production_date(ts: Column | str) -> Column:
     """Production date by the hour rule: before 07:00 counts to the day before."""
     column = F.col(ts) if isinstance(ts, str) else ts

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -135,6 +136,22 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation
 
 
+def observed(observation: Observation) -> dict[str, int]:
+    """What was counted in a write; nothing when the planner proved that there are no rows."""
+    try:
+        return observation.get
+    except Py4JJavaError as error:
+        # Spark leaves an empty input out of the plan, and the counts have no row then.
+        if "AssertionError" not in str(error.java_exception):
+            raise
+        return {}
+
+
+def rows_seen(observation: Observation) -> int:
+    """Rows that ``counted`` saw in the write."""
+    return observed(observation).get("rows", 0)
+
+
 def load_report(before: DataFrame, after: DataFrame, by: Sequence[str]) -> DataFrame:
     """Rows before, after and added per group, such as session or source.
 

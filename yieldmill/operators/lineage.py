@@ -34,9 +34,10 @@ def last_descendants(edges: DataFrame, latest: str = "max") -> DataFrame:
     of its own tree.  Inside the trees the search doubles its reach each round, so a
     chain of n runs takes log2(n) rounds, and a round holds one ancestor per run.
     Then the trees are settled from the last merges back: a tree offers its result
-    to the parents of its root once no other tree has anything left to offer to it,
-    and the offers climb with the jumps of the first part.  Every conversion is
-    used once there, so no round holds more than the conversions.  A cycle inside a
+    to the trees of its root's parents once no other tree has anything left to offer to
+    it.  These rounds carry one row per tree; when all trees are settled, the offers climb
+    inside them with the jumps of the first part.  Every conversion is used once there,
+    so no round holds more than the conversions.  A cycle inside a
     tree never runs out of ancestors, one over merges leaves no tree to settle;
     both are reported.
     """
@@ -47,9 +48,9 @@ def last_descendants(edges: DataFrame, latest: str = "max") -> DataFrame:
     links = materialise(links.distinct(), "links")
     parents = links.groupBy("node").agg(F.count("*").alias("parents"), F.min("ancestor").alias("ancestor"))
     jumps = materialise(parents.where("parents = 1").select("node", "ancestor"), "jumps")
-    merged = links.join(parents.where("parents > 1").select("node"), "node")
+    merged = materialise(links.join(parents.where("parents > 1").select("node"), "node"), "merges")
     best, levels = _climb_trees(jumps, rank)
-    best = _settle_merges(materialise(merged, "merges"), best, levels, rank)
+    best = _settle_merges(merged, best, levels, rank)
     return best.select(F.col("ancestor").alias("FROM_RUN"), F.col("run").alias("RUN_NO"), "depth")
 
 
@@ -90,29 +91,58 @@ def _climb_trees(jumps: DataFrame, rank: tuple[str, str]) -> tuple[DataFrame, li
 def _settle_merges(
     merged: DataFrame, best: DataFrame, levels: list[DataFrame], rank: tuple[str, str]
 ) -> DataFrame:
-    """``best`` with what merged runs offer to all their ancestors."""
+    """``best`` with what merged runs offer to all their ancestors.
+
+    The rounds work on whole trees: each has one value, the best descendant of its root.
+    Offers climb inside the trees once, when all values are final.
+    """
     if merged.isEmpty():
         return best
-    # Root of the tree that each parent of a merged run stands in.
-    tops = merged.select("ancestor", F.col("ancestor").alias("top")).distinct()
-    for jumps in reversed(levels):
-        up = jumps.select(F.col("node").alias("top"), F.col("ancestor").alias("higher"))
-        tops = tops.join(up, "top", "left").select("ancestor", F.coalesce("higher", "top").alias("top"))
-    open_links = materialise(merged.join(tops, "ancestor"), "merges")
+    # Root of the tree that each parent of a merged run stands in, and how far away it is.
+    tops = merged.select("ancestor", F.col("ancestor").alias("top"), F.lit(0).alias("up")).distinct()
+    for level, jumps in reversed(list(enumerate(levels))):
+        above = jumps.select(F.col("node").alias("top"), F.col("ancestor").alias("higher"))
+        climbed = F.col("up") + F.when(F.col("higher").isNotNull(), 2**level).otherwise(0)
+        tops = tops.join(above, "top", "left").select(
+            "ancestor", F.coalesce("higher", "top").alias("top"), climbed.alias("up")
+        )
+    links = materialise(merged.join(tops, "ancestor"), "merges")
+    roots = links.select(F.col("top").alias("ancestor")).union(links.select("node")).distinct()
+    trees, open_links = materialise(best.join(roots, "ancestor", "left_semi"), "trees"), links
     while not open_links.isEmpty():
         waiting = open_links.select(F.col("top").alias("node")).distinct()
         ready = open_links.join(waiting, "node", "left_anti")
-        if ready.isEmpty():
+        offers = _offers(ready, trees).select(
+            F.col("top").alias("ancestor"), "run", (F.col("depth") + F.col("up")).alias("depth")
+        )
+        still = open_links.join(waiting, "node", "left_semi")
+        state = _best(trees.unionByName(offers), rank).withColumn("kind", F.lit("tree"))
+        state = state.unionByName(still.withColumn("kind", F.lit("link")), allowMissingColumns=True)
+        state = materialise(state, "settled", ("kind",))
+        trees = state.filter(F.col("kind") == "tree").select("ancestor", "run", "depth")
+        left = state.filter(F.col("kind") == "link").select("ancestor", "node", "top", "up")
+        # Each round settles a tree at least, unless merges lead back to where they started.
+        if not left.isEmpty() and ready.isEmpty():
             raise LineageCycle("run conversions form a cycle")
-        own = best.withColumnRenamed("ancestor", "node")
-        itself = ready.select("ancestor", F.col("node").alias("run"), F.lit(1).alias("depth"))
-        carried = ready.join(own, "node").select("ancestor", "run", (F.col("depth") + 1).alias("depth"))
-        offers = _best(itself.unionByName(carried), rank)
-        for level, jumps in enumerate(levels):
-            offers = _best(_also_above(offers, jumps, 2**level), rank)
-        best = materialise(_best(best.unionByName(offers), rank), "best")
-        open_links = materialise(open_links.join(waiting, "node", "left_semi"), "merges")
-    return best
+        open_links = left
+    offers = materialise(_best(_offers(links, trees).select("ancestor", "run", "depth"), rank), "offers")
+    for level, jumps in enumerate(levels):
+        offers = _best(_also_above(offers, jumps, 2**level), rank)
+    return _best(best.unionByName(offers), rank)
+
+
+def _offers(links: DataFrame, trees: DataFrame) -> DataFrame:
+    """What merged runs offer to their parents: themselves and their best descendant."""
+    own = trees.select(F.col("ancestor").alias("node"), "run", F.col("depth").alias("below"))
+    both = F.filter(
+        F.array(
+            F.struct(F.col("node").alias("run"), F.lit(1).alias("depth")),
+            F.struct("run", (F.col("below") + 1).alias("depth")),
+        ),
+        lambda offer: offer["depth"].isNotNull(),
+    )
+    found = links.join(own, "node", "left").select("ancestor", "top", "up", F.explode(both).alias("offer"))
+    return found.select("ancestor", "top", "up", "offer.run", "offer.depth")
 
 
 def _also_above(offers: DataFrame, jumps: DataFrame, distance: int) -> DataFrame:
@@ -145,9 +175,10 @@ def run_lineage(
     One row per run number; of cards that share one, the lowest key counts.
     """
     last = last_descendants(conversions(edges, window), latest)
-    roots = cards.groupBy("RUNCARD_NO").agg(F.min("RUNCARD_NO_KEY").alias("RUNCARD_NO_KEY"))
-    return roots.join(last, F.col("RUNCARD_NO") == F.col("FROM_RUN")).select(
-        "RUNCARD_NO_KEY",
-        F.col("RUNCARD_NO").alias("original_runcard_no"),
-        F.col("RUN_NO").alias("current_run_no"),
+    # The window's few runs reduce the cards before these are grouped.
+    found = cards.select("RUNCARD_NO", "RUNCARD_NO_KEY").join(last, F.col("RUNCARD_NO") == F.col("FROM_RUN"))
+    return (
+        found.groupBy(F.col("RUNCARD_NO").alias("original_runcard_no"), F.col("RUN_NO").alias("current_run_no"))
+        .agg(F.min("RUNCARD_NO_KEY").alias("RUNCARD_NO_KEY"))
+        .select("RUNCARD_NO_KEY", "original_runcard_no", "current_run_no")
     )

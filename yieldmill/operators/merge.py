@@ -1,13 +1,20 @@
-"""Upserts as joins: insert-only, update-matched and conditional update."""
+"""Upserts as joins: insert-only, update-matched, conditional update, and all in one pass."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from yieldmill.functions.exprs import same_or_both_null
+from yieldmill.operators.audit import observed
+from yieldmill.session import keeping_counts, materialise
+
+# What a merge does with a row.
+KEEP, UPDATE, INSERT = "keep", "update", "insert"
 
 
 def rows_to_insert(
@@ -108,3 +115,89 @@ def status_changed(name: str, null_safe: bool = False) -> Callable[[Column, Colu
         return old[name] != new[name]
 
     return differs
+
+
+@dataclass(frozen=True)
+class Merge:
+    """Result of one pass: the target's rows, the new source rows, and both counts."""
+
+    target: DataFrame
+    new: DataFrame
+    updated: int
+    inserted: int
+
+    @property
+    def rows(self) -> DataFrame:
+        """The whole content after the merge."""
+        return self.target.unionByName(self.new)
+
+
+def merge_actions(
+    target: DataFrame,
+    source: DataFrame,
+    on: Sequence[str],
+    values: Sequence[str] = (),
+    when: Callable[[Column, Column], Column] | None = None,
+    insert_when: Callable[[Column], Column] | None = None,
+    nullable: Sequence[str] = (),
+) -> DataFrame:
+    """Every target row and every new source row with the action of a merge.
+
+    One full join of both sides on the key gives ``action``, ``old`` (the target row, with
+    ``values`` taken from the source row where the action is an update) and ``new`` (the
+    source row).  ``when(old, new)`` limits updates, ``insert_when(new)`` inserts.  A NULL
+    in a key matches nothing, except in ``nullable`` columns.  Source rows that share a
+    new key are all inserted; two that would update one target row end the job.
+    """
+    key = Window.partitionBy(*on)
+    incoming = source.select(
+        F.struct(*source.columns).alias("_new"),
+        *[F.col(name).alias(f"_s_{name}") for name in on],
+        F.count(F.lit(1)).over(key).alias("_matches"),
+        F.row_number().over(key.orderBy(*on)).alias("_place"),
+    )
+    known = target.select(
+        F.struct(*target.columns).alias("_old"), *[F.col(name).alias(f"_t_{name}") for name in on]
+    )
+    match = F.lit(True)
+    for name in on:
+        ours, theirs = F.col(f"_t_{name}"), F.col(f"_s_{name}")
+        match = match & (ours.eqNullSafe(theirs) if name in nullable else ours == theirs)
+    pairs = known.join(incoming, match, "full_outer")
+    old, new = F.col("_old"), F.col("_new")
+    update = old.isNotNull() & new.isNotNull() & F.lit(bool(values))
+    if when is not None:
+        update = update & F.coalesce(when(old, new), F.lit(False))
+    if values:
+        twice = F.raise_error(F.lit("several source rows update one target row")).cast("boolean")
+        update = F.when(old.isNotNull() & (F.col("_matches") > 1), twice).otherwise(update)
+    insert = F.lit(True) if insert_when is None else F.coalesce(insert_when(new), F.lit(False))
+    action = F.when(old.isNull(), F.when(insert, INSERT)).when(update, UPDATE).otherwise(KEEP)
+    fields = [
+        (
+            F.when(F.col("action") == UPDATE, new[field.name].cast(field.dataType)).otherwise(old[field.name])
+            if field.name in values
+            else old[field.name]
+        ).alias(field.name)
+        for field in target.schema.fields
+    ]
+    # A target row that meets several source rows, none of which changes it, stays one row.
+    first = old.isNull() | F.coalesce(F.col("_place") == 1, F.lit(True))
+    rows = pairs.withColumn("action", action).filter(F.col("action").isNotNull() & first)
+    return rows.select("action", F.struct(*fields).alias("old"), new.alias("new"))
+
+
+def merge(target: DataFrame, source: DataFrame, on: Sequence[str], **how) -> Merge:
+    """``merge_actions``, written once; the counts are observed in that write."""
+    seen = Observation("merge")
+    counts = [F.count(F.when(F.col("action") == kind, 1)).alias(kind) for kind in (UPDATE, INSERT)]
+    actions = merge_actions(target, source, on, **how).observe(seen, *counts)
+    with keeping_counts(target.sparkSession):
+        written = materialise(actions, "merge", ("action",))
+    found = observed(seen)
+    return Merge(
+        written.filter(F.col("action") != INSERT).select("old.*"),
+        written.filter(F.col("action") == INSERT).select("new.*"),
+        found.get(UPDATE, 0),
+        found.get(INSERT, 0),
+    )

@@ -7,9 +7,10 @@ plant where existing rows change as well.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yieldmill.functions.exprs import differs_or_null
@@ -18,7 +19,8 @@ from yieldmill.operators.audit import Batch, with_audit
 from yieldmill.operators.joins import lookup_key, week_of
 from yieldmill.operators.keys import DATE_KEY_BASE, KEY_BASE, assign_keys
 from yieldmill.operators.lineage import run_lineage
-from yieldmill.operators.merge import rows_to_insert, status_changed, upsert_update
+from yieldmill.operators.merge import Merge, merge, rows_to_insert, status_changed, upsert_update
+from yieldmill.plans.schemas import KEY_BLOCK
 
 # Codes of the start-operation and operation tables.
 GROUP_SEQUENCE = {"LAT": "480", "PACK": "490"}
@@ -109,33 +111,29 @@ def line_source(cells: DataFrame, plant: str) -> DataFrame:
     )
 
 
-def dim_line(cells: DataFrame, target: DataFrame, batch: Batch, plant: str) -> DataFrame:
-    """Whole content for the plant: known lines refreshed, new lines added."""
-    source = line_source(cells, plant)
-    known = target.filter(F.col("PLANT") == plant)
-    refreshed = upsert_update(
-        known,
-        source,
+def merge_line(cells: DataFrame, target: DataFrame, batch: Batch, plant: str) -> Merge:
+    """Known lines of the plant refreshed, and new lines with their keys."""
+    found = merge(
+        target.filter(F.col("PLANT") == plant),
+        line_source(cells, plant),
         ["LINE_NO", "PLANT"],
-        ["ROOM", "LOCATION", "LINE_CODE", "LINE_DIGIT"],
+        values=["ROOM", "LOCATION", "LINE_CODE", "LINE_DIGIT"],
     )
     rows = with_audit(
-        source,
+        found.new,
         f"EIS_JIT_CELL_{plant}",
         _session("MFG_LINE_DIM", plant),
         batch,
         ["PLANT", "LINE_NO", "LINE_CODE"],
     )
-    new = _new_rows(
-        rows,
-        known,
-        ["LINE_NO", "PLANT"],
-        "LINE_NO_KEY",
-        KEY_BASE[plant],
-        None,
-        ["LINE_NO", "LINE_CODE", "ROOM", "LOCATION", "LINE_DIGIT"],
-    )
-    return refreshed.unionByName(new.select(*target.columns))
+    order = ["LINE_NO", "LINE_CODE", "ROOM", "LOCATION", "LINE_DIGIT"]
+    new = assign_keys(rows, found.target, "LINE_NO_KEY", order, KEY_BASE[plant])
+    return replace(found, new=new.select(*target.columns))
+
+
+def dim_line(cells: DataFrame, target: DataFrame, batch: Batch, plant: str) -> DataFrame:
+    """Whole content for the plant: known lines refreshed, new lines added."""
+    return merge_line(cells, target, batch, plant).rows
 
 
 def machine_source(machines: DataFrame) -> DataFrame:
@@ -250,7 +248,7 @@ def product_source(
     )
 
 
-def dim_product(
+def merge_product(
     overall: DataFrame,
     families: DataFrame,
     parts: DataFrame,
@@ -259,35 +257,35 @@ def dim_product(
     plant: str,
     initial: bool = False,
     null_safe: bool = False,
-) -> DataFrame:
-    """Whole content for the plant: changed status updated, new products added."""
-    known = target.filter(F.col("PLANT") == plant)
-    everything = product_source(overall, families, parts, plant, active_only=False)
-    updated = upsert_update(
-        known,
-        everything.select("PRODUCT_PART_NO", "PLANT", "STATUS"),
+) -> Merge:
+    """Known products of the plant with their changed status, and new products with keys.
+
+    The status comes from products of all families; those of closed ones are new only
+    in the initial load.
+    """
+    found = merge(
+        target.filter(F.col("PLANT") == plant),
+        product_source(overall, families, parts, plant, active_only=False),
         ["PRODUCT_PART_NO", "PLANT"],
-        ["STATUS"],
+        values=["STATUS"],
         when=status_changed("STATUS", null_safe),
+        insert_when=None if initial else lambda new: new["STATUS"] == ACTIVE,
     )
-    offered = everything if initial else everything.filter(F.col("STATUS") == ACTIVE)
     rows = with_audit(
-        offered,
+        found.new,
         f"EIS_PRODUCT_OVERALL_{plant}",
         _session("MFG_PRODUCT_DIM", plant),
         batch,
         ["PLANT", "PRODUCT_PART_NO", "MPT_PART_NO"],
     )
-    new = _new_rows(
-        rows,
-        known,
-        ["PRODUCT_PART_NO", "PLANT"],
-        "PRODUCT_PART_NO_KEY",
-        KEY_BASE[plant],
-        None,
-        ["PRODUCT_PART_NO", "MPT_PART_NO", "PRODUCT_NAME", "FAMILY_NAME"],
-    )
-    return updated.unionByName(new.select(*target.columns))
+    order = ["PRODUCT_PART_NO", "MPT_PART_NO", "PRODUCT_NAME", "FAMILY_NAME"]
+    new = assign_keys(rows, found.target, "PRODUCT_PART_NO_KEY", order, KEY_BASE[plant])
+    return replace(found, new=new.select(*target.columns))
+
+
+def dim_product(*sources_and_target, **how) -> DataFrame:
+    """Whole content for the plant: changed status updated, new products added."""
+    return merge_product(*sources_and_target, **how).rows
 
 
 # --- routing ----------------------------------------------------------------
@@ -450,7 +448,7 @@ def keyed_runs(rows: DataFrame, products: DataFrame, lines: DataFrame, plant: st
 
 
 def dim_runcard(source: DataFrame, target: DataFrame, batch: Batch, plant: str) -> DataFrame:
-    """New run cards of the plant."""
+    """New run cards of the plant, with the block that their key lies in."""
     rows = with_audit(
         source,
         f"EIS_WIP_FA_RUNCARD_{plant}",
@@ -458,7 +456,7 @@ def dim_runcard(source: DataFrame, target: DataFrame, batch: Batch, plant: str)
         batch,
         ["PLANT", "RUNCARD_NO", "EER_NO", "PRODUCT_PART_NO_KEY", "LINE_NO_KEY", "CREATED_DATE"],
     )
-    return _new_rows(
+    new = _new_rows(
         rows,
         target,
         ["RUNCARD_NO", "PLANT"],
@@ -474,6 +472,12 @@ def dim_runcard(source: DataFrame, target: DataFrame, batch: Batch, plant: str)
             "CREATED_DATE",
         ],
     )
+    return new.withColumn("KEY_BLOCK", key_block("RUNCARD_NO_KEY"))
+
+
+def key_block(key: str) -> Column:
+    """Block of a dense key: keys given together lie in one partition of the dimension."""
+    return F.floor(F.col(key) / KEY_BLOCK).cast("int")
 
 
 def converted_runs(
@@ -526,3 +530,22 @@ def apply_lineage(target: DataFrame, converted: DataFrame, plant: str) -> DataFr
         },
         only=target["PLANT"] == plant,
     )
+
+
+def lineage_changes(
+    target: DataFrame, converted: DataFrame, plant: str
+) -> tuple[DataFrame, DataFrame]:
+    """Keys of the converted cards, and these cards with their current run.
+
+    Only the key blocks of the converted cards are read; ``converted`` should be
+    materialised, because both results need it.
+    """
+    keys = converted.select(
+        F.lit(plant).alias("PLANT"),
+        key_block("RUNCARD_NO_KEY").alias("KEY_BLOCK"),
+        "RUNCARD_NO_KEY",
+        F.col("original_runcard_no").alias("RUNCARD_NO"),
+    ).distinct()
+    # The comparison marks the small side as selective, so blocks without a card are skipped.
+    cards = target.join(keys.filter(F.col("KEY_BLOCK") >= 0), keys.columns, "left_semi")
+    return keys, apply_lineage(cards.select(*target.columns), converted, plant)

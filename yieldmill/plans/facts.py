@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yieldmill.functions.exprs import or_zero, valid_move
-from yieldmill.functions.prodtime import in_window, production_start
+from yieldmill.functions.prodtime import in_window, production_start, window_days
 from yieldmill.operators.audit import Batch, with_audit
 from yieldmill.operators.joins import (
     in_pairs,
@@ -109,7 +109,8 @@ def _documented(cards: DataFrame, docs: DataFrame, wanted: DataFrame) -> DataFra
 
 def _moves_of(wip: DataFrame, window: tuple[datetime, datetime]) -> DataFrame:
     """Valid moves of the window, with the columns the facts read."""
-    return wip.filter(in_window("TRANSFER_DATE", window) & valid_move()).select(
+    inside = _in_days(wip, window) & in_window("TRANSFER_DATE", window)
+    return wip.filter(inside & valid_move()).select(
         "RUN_NO",
         "PRODUCT_PART_NO",
         "OPERATION_NO",
@@ -123,6 +124,14 @@ def _moves_of(wip: DataFrame, window: tuple[datetime, datetime]) -> DataFrame:
     )
 
 
+def _in_days(moves: DataFrame, window: tuple[datetime, datetime]) -> Column:
+    """The days of the window, where moves are stored by day: a filter on partitions."""
+    if "TRANSFER_DAY" not in moves.columns:
+        return F.lit(True)
+    first, last = window_days(window)
+    return F.col("TRANSFER_DAY").between(F.lit(first), F.lit(last))
+
+
 def _with_documents(
     moves: DataFrame, cards: DataFrame, docs: DataFrame, wanted: DataFrame, keep: Column
 ) -> DataFrame:
@@ -202,7 +211,8 @@ def trans_totals(
     """
     codes = list(GROUP_SEQUENCE.values())
     accepted = trans.filter(
-        in_window("TRANSFER_DATE", window)
+        _in_days(trans, window)
+        & in_window("TRANSFER_DATE", window)
         & F.col("OPERATION_NO").isin(codes)
         & (F.col("WIP_ALREADY") == "Y")
         & (F.col("ACCEPT_ALREADY") == "Y")

@@ -11,16 +11,10 @@ from yieldmill.functions import spc
 from yieldmill.functions.exprs import steady_decimal, text_number
 from yieldmill.functions.prodtime import month_label, quarter_digit
 from yieldmill.plans.dims import YIELD_FLAG
+from yieldmill.plans.schemas import SORTED
 
 QTY = ["INPUT_QTY", "OUTPUT_QTY", "SCRAP_QTY"]
-MART_ORDER = [
-    "DATE_BEGIN",
-    "PRODUCT_FAMILY",
-    "MPT_PART_NO",
-    "LINE_NO",
-    "LAT_LOT_TYPE",
-    "OPERATION_NO",
-]
+MART_ORDER = ["DATE_BEGIN", *SORTED["CUMULATIVE_YIELD"]]
 
 
 def ratio(output_qty: Column, input_qty: Column) -> Column:
@@ -58,7 +52,12 @@ def star_join_yield(
     lines: DataFrame,
     dates: DataFrame,
 ) -> DataFrame:
-    """Quantities of yield operations by day, product, line, lot type and operation."""
+    """Quantities of yield operations by day, product, line, lot type and operation.
+
+    The fact is summed by its surrogate keys first, in each task and then by one shuffle
+    of sums.  The dimensions meet these sums and not the moves, and the sums are added
+    again where several keys share a label.
+    """
     steps = routing.filter(F.col("YIELD") == YIELD_FLAG).select(
         "ROUTE_OPERATION_NO_KEY",
         "PRODUCT_PART_NO_KEY",
@@ -75,9 +74,11 @@ def star_join_yield(
         month_label(F.col("DATE_BEGIN"), F.col("YEAR")).alias("MMM"),
         quarter_digit(F.col("QUARTER")).alias("QUARTER"),
     )
+    sums = fact.groupBy("ROUTE_OPERATION_NO_KEY", "LINE_NO_KEY", "DATE_KEY").agg(
+        *[F.sum(name).alias(name) for name in QTY]
+    )
     joined = (
-        fact.select("ROUTE_OPERATION_NO_KEY", "LINE_NO_KEY", "DATE_KEY", *QTY)
-        .join(steps, "ROUTE_OPERATION_NO_KEY")
+        sums.join(steps, "ROUTE_OPERATION_NO_KEY")
         .join(product, "PRODUCT_PART_NO_KEY")
         .join(lines.select("LINE_NO_KEY", "LINE_NO"), "LINE_NO_KEY")
         .join(days, "DATE_KEY")
@@ -92,7 +93,7 @@ def star_join_yield(
         "LINE_NO",
         "LAT_LOT_TYPE",
         "OPERATION_NO",
-    ).agg(*[F.sum(name).alias(name) for name in QTY])
+    ).agg(*[F.sum(name).cast("decimal(25,5)").alias(name) for name in QTY])
 
 
 def mart_yield(

@@ -158,26 +158,46 @@ MART_COLUMNS = {
     ),
 }
 
+# Columns that tables have beside those of their source, for their partitions: the
+# production day of a move, blocks of a million run-card keys, the slice of a load and
+# the micro-batch of a stream.
+PARTITION_COLUMNS = {
+    "EIS_WIP_FA": "TRANSFER_DAY date",
+    "EIS_WIP_FA_WIP_TRANS": "TRANSFER_DAY date",
+    "SFC_RUNCARD_DIM": "KEY_BLOCK int",
+    "FACT_DATA_CON_TRANSACTION": "INF_SLICE_ID bigint",
+}
+KEY_BLOCK = 1_000_000
+
 # Partition columns follow the predicates of the replace loads and of the readers:
-# plant for dimensions, batch for staged moves, production day for the run-card
-# fact, machine and day for telemetry.
+# plant for dimensions, production day and batch for staged moves, production day for
+# the run-card fact and the yield mart, machine and day for telemetry.  What a load may
+# have to repeat after a crash (a slice, a micro-batch) is a partition of its own.
 PARTITIONS = {
-    "EIS_WIP_FA": ("PLANT", "INF_BATCH_ID"),
-    "EIS_WIP_FA_WIP_TRANS": ("PLANT", "INF_BATCH_ID"),
+    "EIS_WIP_FA": ("PLANT", "TRANSFER_DAY", "INF_BATCH_ID"),
+    "EIS_WIP_FA_WIP_TRANS": ("PLANT", "TRANSFER_DAY", "INF_BATCH_ID"),
+    "SFC_RUNCARD_DIM": ("PLANT", "KEY_BLOCK"),
     "MFG_DATE_DIM": (),
     "MFG_MACHINE_DIM": (),
     "MFG_ROUTING_OPERATION_DIM": ("INF_SESS_NAME",),
     "SFC_WIP_RUNCARD_FACT": ("INF_SESS_NAME", "DATE_KEY"),
-    "FACT_DATA_CON_TRANSACTION": ("MachineNo", "Date"),
-    "FACT_DATA_CON_TRANSACTION_TEST": ("MachineNo", "Date"),
+    "FACT_DATA_CON_TRANSACTION": ("MachineNo", "Date", "INF_SLICE_ID"),
     "DATA_CON_PARAM_SPEC": (),
     "DATA_CON_TRANSACTION": ("Date",),
-    "CUMULATIVE_YIELD": (),
+    "CUMULATIVE_YIELD": ("DATE_BEGIN",),
 }
 
 
-def with_audit_columns(schema: T.StructType) -> T.StructType:
-    return T.StructType(schema.fields + ddl(AUDIT).fields)
+# Report order of the yield mart; its first column is the partition.
+SORTED = {
+    "CUMULATIVE_YIELD": ("PRODUCT_FAMILY", "MPT_PART_NO", "LINE_NO", "LAT_LOT_TYPE", "OPERATION_NO"),
+}
+
+
+def with_audit_columns(schema: T.StructType, name: str | None = None) -> T.StructType:
+    """The columns, the audit columns, and those that the table is partitioned by."""
+    own = ddl(PARTITION_COLUMNS[name]).fields if name in PARTITION_COLUMNS else []
+    return T.StructType(schema.fields + ddl(AUDIT).fields + own)
 
 
 def staging_schema(source: T.StructType, name: str) -> T.StructType:
@@ -187,7 +207,7 @@ def staging_schema(source: T.StructType, name: str) -> T.StructType:
         raise ValueError(f"{name} lacks {', '.join(missing)}")
     plant = T.StructField("PLANT", T.StringType())
     own = [f for f in source.fields if f.name != "PLANT"]
-    return with_audit_columns(T.StructType(own + [plant]))
+    return with_audit_columns(T.StructType(own + [plant]), name)
 
 
 def staging_table(lake: Lake, name: str, source: T.StructType | None = None) -> Table:
@@ -197,54 +217,57 @@ def staging_table(lake: Lake, name: str, source: T.StructType | None = None) ->
 
 
 def telemetry_staging_table(lake: Lake, name: str = "STAGING_DTC_TRANSACTION") -> Table:
-    """Staged telemetry, by machine and day.
+    """Staged telemetry, by machine, day and micro-batch of the stream that brought it.
 
     The second partition column holds the collection day, or the day of arrival
     for the table that feeds the incremental fact.
     """
-    return _telemetry_table(lake, "staging", name)
-
-
-def telemetry_landing_table(lake: Lake, name: str = "STAGING_DTC_TRANSACTION") -> Table:
-    """Where a stream lands telemetry of a staging table that batches also write."""
-    return _telemetry_table(lake, "landing", name)
-
-
-def _telemetry_table(lake: Lake, layer: str, name: str) -> Table:
     day = "CREATE_DATE" if name.endswith("_REDIS") else "COLLECTED_DAY"
     schema = with_audit_columns(ddl(TELEMETRY_STAGING)).add(day, T.DateType())
-    return lake.table(layer, name, schema, ("MACHINENAME", day))
+    schema = schema.add("STREAM_BATCH", T.StringType())
+    return lake.table("staging", name, schema, ("MACHINENAME", day, "STREAM_BATCH"))
 
 
 def master_table(lake: Lake, name: str) -> Table:
-    schema = with_audit_columns(ddl(MASTER_COLUMNS[name]))
+    schema = with_audit_columns(ddl(MASTER_COLUMNS[name]), name)
     return lake.table("master", name, schema, PARTITIONS.get(name, ("PLANT",)))
 
 
 def process_table(lake: Lake, name: str) -> Table:
-    columns = PROCESS_COLUMNS[name.removesuffix("_TEST")]
-    return lake.table("process", name, with_audit_columns(ddl(columns)), PARTITIONS[name])
+    plain = name.removesuffix("_TEST")
+    schema = with_audit_columns(ddl(PROCESS_COLUMNS[plain]), plain)
+    return lake.table("process", name, schema, PARTITIONS[plain])
 
 
 def mart_table(lake: Lake, name: str) -> Table:
     plain = name.removesuffix("_TEST")
-    return lake.table("mart", name, ddl(MART_COLUMNS[plain]), PARTITIONS[plain])
+    return lake.table("mart", name, ddl(MART_COLUMNS[plain]), PARTITIONS[plain], SORTED.get(plain, ()))
 
 
 def control_table(lake: Lake) -> Table:
     return lake.table("control", "INF_BATCH_ID_CTRL", ddl(BATCH_CONTROL))
 
 
-def watermark_table(lake: Lake) -> Table:
-    """How far each stream has been loaded into each target, one row per load."""
-    return lake.table("control", "LOAD_WATERMARKS", ddl("STREAM string, TARGET string, MARK timestamp_ntz"))
+def slice_table(lake: Lake) -> Table:
+    """Slices of streams by target: a row when one is opened and one when it is loaded."""
+    columns = "STREAM string, TARGET string, SLICE bigint, AFTER timestamp_ntz, UPTO timestamp_ntz, DONE boolean"
+    return lake.table("control", "LOAD_SLICES", ddl(columns))
+
+
+def change_table(lake: Lake) -> Table:
+    """Days of a fact that a load is about to change; a NULL day stands for all."""
+    return lake.table("control", "CHANGED_DAYS", ddl("TABLE_NAME string, DATE_KEY int, CHANGE bigint"))
+
+
+def build_table(lake: Lake) -> Table:
+    """The last change that each build of a mart has seen."""
+    return lake.table("control", "MART_BUILDS", ddl("MART string, CHANGE bigint"))
 
 
 def all_tables(lake: Lake) -> list[Table]:
     """Every table of the lakehouse, for creation and for the reset."""
     return [
         *[staging_table(lake, name) for name in SOURCE_COLUMNS],
-        telemetry_landing_table(lake),
         telemetry_staging_table(lake),
         telemetry_staging_table(lake, "STAGING_DTC_TRANSACTION_REDIS"),
         telemetry_staging_table(lake, "STAGING_DTC_TRANSACTION_TEST"),
@@ -254,5 +277,7 @@ def all_tables(lake: Lake) -> list[Table]:
         *[mart_table(lake, name) for name in MART_COLUMNS],
         mart_table(lake, "DATA_CON_TRANSACTION_TEST"),
         control_table(lake),
-        watermark_table(lake),
+        slice_table(lake),
+        change_table(lake),
+        build_table(lake),
     ]

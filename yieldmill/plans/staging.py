@@ -8,9 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from yieldmill.functions.exprs import valid_move
-from yieldmill.functions.prodtime import in_window, production_window, span_window, until
+from yieldmill.functions.prodtime import (
+    in_window,
+    production_window,
+    span_window,
+    transfer_day,
+    until,
+    window_days,
+)
 from yieldmill.operators.audit import Batch, with_audit
 from yieldmill.operators.loads import (
+    Between,
     LoadReport,
     append,
     replace_values,
@@ -29,7 +37,8 @@ def staged(source: DataFrame, name: str, plant: str, batch: Batch, suffix: str =
     """Source rows with the plant and the audit columns."""
     table = f"{name}_{plant}"
     rows = source.withColumn("PLANT", F.lit(plant))
-    return with_audit(rows, table, f"Staging_{table}{suffix}", batch)
+    rows = with_audit(rows, table, f"Staging_{table}{suffix}", batch)
+    return rows.withColumn("TRANSFER_DAY", transfer_day("TRANSFER_DATE")) if name in BY_DAY else rows
 
 
 def stage_full(table: Table, source: DataFrame, name: str, plant: str, batch: Batch) -> LoadReport:
@@ -37,7 +46,7 @@ def stage_full(table: Table, source: DataFrame, name: str, plant: str, batch: Ba
     if name in WITH_CUT_OFF:
         source = source.filter(until(WITH_CUT_OFF[name], batch.as_of.date()))
     rows = staged(source, name, plant, batch)
-    return replace_values(table, rows, {"PLANT": plant}, reads_table=False)
+    return replace_values(table, rows, {"PLANT": plant})
 
 
 def stage_day(table: Table, source: DataFrame, name: str, plant: str, batch: Batch) -> LoadReport:
@@ -48,7 +57,6 @@ def stage_day(table: Table, source: DataFrame, name: str, plant: str, batch: Bat
         table,
         staged(rows, name, plant, batch),
         {"PLANT": plant, "INF_BATCH_ID": batch.batch_id},
-        reads_table=False,
     )
 
 
@@ -62,17 +70,21 @@ def stage_span(
     last: date,
 ) -> LoadReport:
     """Rerun: moves of a span of production days, replacing all rows in it."""
-    inside = in_window("TRANSFER_DATE", span_window(first, last))
+    window = span_window(first, last)
+    inside = in_window("TRANSFER_DATE", window)
     rows = source.filter(inside & valid_move())
     return replace_where(
         table,
         staged(rows, name, plant, batch, "_rerun"),
         inside & (F.col("PLANT") == plant),
+        {"PLANT": plant, "TRANSFER_DAY": Between(*window_days(window))},
     )
 
 
-def stage_initial(table: Table, source: DataFrame, name: str, plant: str, batch: Batch) -> None:
+def stage_initial(
+    table: Table, source: DataFrame, name: str, plant: str, batch: Batch
+) -> LoadReport:
     """First back-fill of the moves up to the last 07:00, under batch id 1."""
     first = Batch(INITIAL_BATCH_ID, batch.as_of, batch.user)
     rows = source.filter(until("TRANSFER_DATE", batch.as_of.date()) & valid_move())
-    append(table, staged(rows, name, plant, first, "_initial"))
+    return append(table, staged(rows, name, plant, first, "_initial"))

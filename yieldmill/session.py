@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +21,10 @@ SETTINGS = {
 }
 
 
+# A rule that drops empty inputs at run time, and with them the counts taken inside.
+EMPTY_RULE = "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"
+EXCLUDED_RULES = "spark.sql.adaptive.optimizer.excludedRules"
+
 # Temporary folders of local sessions without the setting, by application.
 LOCAL_FOLDERS: dict[str, str] = {}
 
@@ -79,3 +85,17 @@ def drop_scratch(spark: SparkSession) -> bool:
     folder = f"{shared_folder(spark)}/yieldmill/{spark.sparkContext.applicationId}"
     path = jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def keeping_counts(spark: SparkSession) -> Iterator[None]:
+    """Inside, no input of a write is dropped as empty before its rows are counted."""
+    before = spark.conf.get(EXCLUDED_RULES, None)
+    spark.conf.set(EXCLUDED_RULES, ",".join(filter(None, [before, EMPTY_RULE])))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(EXCLUDED_RULES)
+        else:
+            spark.conf.set(EXCLUDED_RULES, before)

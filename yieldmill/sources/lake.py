@@ -2,27 +2,70 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from yieldmill.sources import folders
+
+VERSION = re.compile(r"v(\d{10})")
+
 
 @dataclass(frozen=True)
 class Table:
-    """A Parquet table: a folder, its schema and its partition columns."""
+    """A Parquet table: a folder, its schema, its partition columns and the order in files.
+
+    The rows stand in a sub-folder, the version.  A full refresh writes a new one
+    beside it; the table switches when Spark marks that write as successful, so a job
+    that fails while writing leaves the table as it was.
+    """
 
     path: str
     schema: T.StructType
     partition_by: tuple[str, ...] = ()
+    sort_by: tuple[str, ...] = ()
 
     @property
     def columns(self) -> list[str]:
         return self.schema.fieldNames()
 
+    @property
+    def name(self) -> str:
+        return self.path.rsplit("/", 1)[-1]
+
     def read(self, spark: SparkSession) -> DataFrame:
         """The rows; the schema is given, so no file is opened to infer it."""
-        return spark.read.schema(self.schema).parquet(self.path).select(*self.columns)
+        return spark.read.schema(self.schema).parquet(self.location(spark)).select(*self.columns)
+
+    def location(self, spark: SparkSession) -> str:
+        """Folder of the current version: the latest whose write was completed."""
+        for number in reversed(self._versions(spark)):
+            folder = self._folder(number)
+            if folders.exists(spark, f"{folder}/_SUCCESS"):
+                return folder
+        raise ValueError(f"{self.path} has not been created")
+
+    def next_location(self, spark: SparkSession) -> str:
+        """Folder for the next version; what a failed write left there does not count."""
+        return self._folder(max(self._versions(spark), default=0) + 1)
+
+    def drop_old(self, spark: SparkSession) -> None:
+        """Delete versions except the current one and, for its readers, the one before."""
+        complete = []
+        for number in reversed(self._versions(spark)):
+            if len(complete) < 2 and folders.exists(spark, f"{self._folder(number)}/_SUCCESS"):
+                complete.append(number)
+            elif complete:
+                folders.delete(spark, self._folder(number))
+
+    def _folder(self, number: int) -> str:
+        return f"{self.path}/v{number:010d}"
+
+    def _versions(self, spark: SparkSession) -> list[int]:
+        found = (VERSION.fullmatch(name) for name in folders.names(spark, self.path))
+        return sorted(int(match[1]) for match in found if match)
 
 
 @dataclass(frozen=True)
@@ -32,6 +75,11 @@ class Lake:
     root: str
 
     def table(
-        self, layer: str, name: str, schema: T.StructType, partition_by: tuple[str, ...] = ()
+        self,
+        layer: str,
+        name: str,
+        schema: T.StructType,
+        partition_by: tuple[str, ...] = (),
+        sort_by: tuple[str, ...] = (),
     ) -> Table:
-        return Table(f"{self.root.rstrip('/')}/{layer}/{name}", schema, partition_by)
+        return Table(f"{self.root.rstrip('/')}/{layer}/{name}", schema, partition_by, sort_by)

@@ -1,17 +1,26 @@
 """File streams into staging tables.
 
-The transformations are those of the batch plans.  The checkpoint and the commit
-log of the sink together make every input file count once, also after a restart.
+The transformations are those of the batch plans.  Every micro-batch is a partition of
+its own, named by the stream and its number, which the checkpoint keeps.  A micro-batch
+that is replayed after a crash overwrites what its first try left, so every input file
+counts once, and batch loads may write the same table.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from yieldmill.operators import loads
 from yieldmill.sources.lake import Table
 
+STREAM_BATCH = "STREAM_BATCH"
+BY_BATCH = "load"  # in rows that no stream brought
+
 
 def archive_options(archive_dir: str | None) -> dict[str, str]:
     """Move files to ``archive_dir`` once the batch that read them is committed."""
@@ -45,22 +54,27 @@ def stream_json(
 
 
 def stream_append(
-    df: DataFrame, table: Table, checkpoint: str, every: str | None = None
+    df: DataFrame,
+    table: Table,
+    checkpoint: str,
+    every: str | None = None,
+    landed: Callable[[int, loads.LoadReport], None] | None = None,
 ) -> StreamingQuery:
-    """Append the stream to a staging table.
+    """Add the stream to a staging table that has a partition column STREAM_BATCH.
 
     Runs for good with ``every`` as the trigger interval, or once over all files
-    present when it is None.
+    present when it is None.  ``landed`` gets each micro-batch's number and report.
     """
-    writer = (
-        df.select(*table.columns)
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .option("path", table.path)
-    )
-    if table.partition_by:
-        writer = writer.partitionBy(*table.partition_by)
+
+    def land(rows: DataFrame, number: int) -> None:
+        # The id stays with the checkpoint; a new checkpoint starts a new stream.
+        stream = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        batch = F.lit(f"{stream}-{number:010d}")
+        report = loads.overwrite_partitions(table, rows.withColumn(STREAM_BATCH, batch))
+        if landed is not None:
+            landed(number, report)
+
+    writer = df.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
     if every is None:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=every).start()
