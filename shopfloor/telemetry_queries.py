@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,10 +13,11 @@ from shopfloor.views import load, sql
 from yieldmill import sources, streaming
 from yieldmill.functions import spc
 from yieldmill.operators import loads
-from yieldmill.operators.audit import Batch
+from yieldmill.operators.audit import Batch, with_audit
 from yieldmill.plans import marts, schemas, telemetry
 from yieldmill.session import scratch_path
 from yieldmill.sources.lake import Lake
+from yieldmill.warehouse import Warehouse
 
 BATCH = Batch(7, views.AS_OF)
 
@@ -271,6 +274,80 @@ def stream_log_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return run_stream(spark, telemetry.extract_events(lines.select("value")))
 
 
+@query(
+    """SELECT 'kind=' || event_type AS folder, count(*) AS lines FROM events GROUP BY event_type"""
+)
+def stream_archive(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of the files that a stream moved to its archive after it had landed them.
+
+    A file is moved when a micro-batch after its own is committed, so a last file
+    without lines follows.
+    """
+    path, archive = (scratch_path(spark, label) for label in ("log", "archive"))
+    lines = views.log_lines(spark, folder).select("value", "kind")
+    # One file per folder, which the stream reads in one micro-batch.
+    lines.repartition("kind").write.partitionBy("kind").text(path)
+    table = schemas.telemetry_staging_table(Lake(scratch_path(spark, "lake")))
+    loads.create_table(spark, table)
+    checkpoint = scratch_path(spark, "stream")
+    for last in range(3):
+        stream = streaming.stream_text(spark, f"{path}/*/*.txt", archive_dir=archive)
+        events = staged_events(telemetry.extract_events(stream.select("value")))
+        streaming.stream_append(events, table, checkpoint).awaitTermination()
+        none = spark.createDataFrame([], "value string").coalesce(1)
+        none.write.mode("append").text(f"{path}/kind=none{last}")
+    # The archive repeats the whole path of a file below its own.
+    read = sources.with_source_file(
+        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(archive), archive
+    )
+    kind = F.regexp_extract("SOURCE_TABLE_NAME", "/(kind=[^/]+)/[^/]+$", 1)
+    return read.groupBy(kind.alias("folder")).agg(F.count(F.lit(1)).alias("lines"))
+
+
+@query(
+    sql(
+        "telemetry limits",
+        """SELECT MachineNo, CAST(Date AS DATE) AS Date, CAST(count(*) AS BIGINT) AS readings, slice
+           FROM (SELECT *, CASE WHEN DM_CREATED_DATE <= TIMESTAMP '2024-01-15 12:00:00' THEN 1 ELSE 2 END
+                             AS slice FROM fact)
+           GROUP BY ALL""",
+        fact=FACT_SQL,
+    )
+)
+def telemetry_slices(spark: SparkSession, folder: str) -> DataFrame:
+    """Two slices by arrival; the load of each dies once after its rows are written."""
+    house = Warehouse(spark, Lake(scratch_path(spark, "lake")))
+    limits, staged = schemas.master_table(house.lake, "DATA_CON_PARAM_SPEC"), views.telemetry(spark, folder)
+    arrivals = schemas.telemetry_staging_table(house.lake, "STAGING_DTC_TRANSACTION_REDIS")
+    target = schemas.process_table(house.lake, "FACT_DATA_CON_TRANSACTION")
+    loads.truncate_all(spark, [limits, arrivals, target, schemas.slice_table(house.lake)])
+    loads.append(limits, with_audit(views.limits(spark, folder), "limits", "limits", BATCH, ["MachineNo"]))
+    columns = {"CREATE_DATE": F.to_date("DM_CREATED_DATE"), "STREAM_BATCH": F.lit("load")}
+    rows = telemetry.audited_events(staged.select(*EVENT_COLUMNS, "DM_CREATED_DATE"), "telemetry", BATCH, arrival=F.col("DM_CREATED_DATE"))
+    loads.append(arrivals, rows.withColumns(columns).select(arrivals.columns))
+    for as_of in (datetime(2024, 1, 15, 12, 0), datetime(2030, 1, 1)):
+        dying = DyingWarehouse(spark, house.lake)
+        try:
+            dying.load_events(Batch(1, as_of))
+        except DriverGone:
+            house.load_events(Batch(1, as_of))
+    fact = target.read(spark).groupBy("MachineNo", "Date", F.col("INF_SLICE_ID").cast("int").alias("slice"))
+    return fact.agg(F.count(F.lit(1)).alias("readings"))
+
+
+class DriverGone(Exception):
+    pass
+
+
+class DyingWarehouse(Warehouse):
+    """A warehouse whose driver is lost before it can mark a slice as loaded."""
+
+    def _mark_slice(self, stream, target, part, done):
+        if done:
+            raise DriverGone
+        super()._mark_slice(stream, target, part, done)
+
+
 @query(EXPECTED_EVENTS)
 def stream_json_ingest(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "json")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +15,8 @@ from shopfloor.views import PLANT, load, sql
 from yieldmill.operators import joins, keys, lineage, loads, merge
 from yieldmill.operators.audit import Batch, load_report as report
 from yieldmill.operators.audit import merge_preview as preview
-from yieldmill.operators.audit import next_batch, with_audit
-from yieldmill.plans import dims, facts, marts, schemas
+from yieldmill.operators.audit import current_batch, next_batch, with_audit
+from yieldmill.plans import dims, facts, marts, schemas, staging
 from yieldmill.session import materialise, scratch_path
 from yieldmill.sources import Lake
 
@@ -158,6 +159,47 @@ def trans_moves_month(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def stored(spark: SparkSession, folder: str, buckets: int) -> dict[str, DataFrame]:
+    """The sources of the transaction moves from staging tables that are laid out by run."""
+    lake = Lake(scratch_path(spark, "lake"), buckets)
+    tables = {
+        "transactions": "EIS_WIP_FA_WIP_TRANS",
+        "cards": "EIS_WIP_FA_RUNCARD",
+        "docs": "EIS_DOCUMENT_EER",
+        "moves": "EIS_WIP_FA",
+    }
+    found = {}
+    for view, name in tables.items():
+        rows = getattr(views, view)(spark, folder)
+        rows = rows.select(*schemas.ddl(schemas.SOURCE_COLUMNS[name]).names)
+        # Some thousand days of few rows would be that many files in each bucket.
+        table = replace(schemas.staging_table(lake, name, rows.schema), partition_by=("PLANT",))
+        loads.load_full(table, staging.staged(rows, name, PLANT, BATCH))
+        found[view] = table.read(spark)
+    return found
+
+
+@query(
+    sql(
+        ALL_VIEWS,
+        TRANS_SQL,
+        totals=TOTALS_SQL.replace("WHERE WIP_ALREADY", f"WHERE {IN_MONTH} AND WIP_ALREADY"),
+    )
+)
+def trans_moves_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """A month's transactions, whose history is read by run and not shuffled."""
+    f = stored(spark, folder, buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return facts.trans_moves(
+        f["transactions"],
+        f["cards"],
+        f["docs"],
+        f["moves"],
+        views.operations(spark, folder),
+        views.start_ops(spark, folder),
+        MONTH,
+    )
+
+
 def all_moves(spark: SparkSession, folder: str, material: bool) -> DataFrame:
     f = move_frames(spark, folder)
     return facts.all_moves(
@@ -995,6 +1037,16 @@ def control(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    f"""WITH control AS ({CONTROL_SQL})
+        SELECT CAST(max(INF_BATCH_ID) AS INTEGER) AS batch_id, max(INF_BATCH_ID) = 1 AS is_first FROM control"""
+)
+def current_batch_id(spark: SparkSession, folder: str) -> DataFrame:
+    """The batch that loads of the day write into their rows."""
+    batch_id = current_batch(control(spark, folder))
+    return spark.createDataFrame([(batch_id, batch_id == 1)], "batch_id int, is_first boolean")
+
+
 @query(
     f"""WITH control AS ({CONTROL_SQL})
         SELECT * FROM control

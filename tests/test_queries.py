@@ -22,6 +22,7 @@ COMPARED = [
     "spc_daily",
     "stream_json_ingest",
     "trans_moves_month",
+    "trans_moves_stored",
     "wip_moves_month",
 ]
 
@@ -76,3 +77,35 @@ def test_history_is_reduced_to_the_window_before_it_is_summed(spark, name):
     for at in places:
         first = next(line for line in lines[at + 1 :] if "Join" in line or "Relation" in line)
         assert "LeftSemi" in first
+
+
+def test_history_laid_out_by_run_is_not_shuffled(spark):
+    """Moves, cards and documents meet the month's runs where they lie, without a broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES["trans_moves_stored"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = plan.splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    history = [i for i, line in enumerate(lines) if "FileScan" in line and "yieldmill_" in line]
+    assert len(history) >= 4
+    for at in history:
+        above, level = [], depth(lines[at])
+        for line in reversed(lines[:at]):
+            if depth(line) < level:
+                above.append(line)
+                level = depth(line)
+        first = next(line for line in above if "Exchange" in line or "Join" in line or "Aggregate" in line)
+        assert "Exchange" not in first
+
+
+def test_first_shuffle_of_the_star_join_is_of_key_sums(spark):
+    from shopfloor import warehouse_queries
+
+    plan = warehouse_queries.star_join_yield(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "INPUT_QTY" in line)
+    up = [line for line in lines[:scan] if "Exchange" in line or "Aggregate" in line or "Join" in line]
+    assert "partial_sum(INPUT_QTY" in up[-1] and "ROUTE_OPERATION_NO_KEY" in up[-2] and "Exchange" in up[-2]

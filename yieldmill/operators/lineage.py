@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from yieldmill.functions.prodtime import in_window
-from yieldmill.session import materialise
+from yieldmill.operators.audit import rows_seen
+from yieldmill.session import keeping_counts, materialise
 
 
 class LineageCycle(ValueError):
@@ -80,10 +81,9 @@ def _climb_trees(jumps: DataFrame, rank: tuple[str, str]) -> tuple[DataFrame, li
         state = better.withColumn("kind", F.lit("best")).unionByName(
             further.withColumn("kind", F.lit("jump")), allowMissingColumns=True
         )
-        state = materialise(state, "lineage", ("kind",))
+        state, pairs = _written(state, "lineage", "jump")
         best = state.filter(F.col("kind") == "best").select("ancestor", "run", "depth")
         jumps = state.filter(F.col("kind") == "jump").select("node", "ancestor")
-        pairs = jumps.count()
         reach *= 2
     return best, levels
 
@@ -96,7 +96,8 @@ def _settle_merges(
     The rounds work on whole trees: each has one value, the best descendant of its root.
     Offers climb inside the trees once, when all values are final.
     """
-    if merged.isEmpty():
+    left = merged.count()
+    if not left:
         return best
     # Root of the tree that each parent of a merged run stands in, and how far away it is.
     tops = merged.select("ancestor", F.col("ancestor").alias("top"), F.lit(0).alias("up")).distinct()
@@ -109,7 +110,7 @@ def _settle_merges(
     links = materialise(merged.join(tops, "ancestor"), "merges")
     roots = links.select(F.col("top").alias("ancestor")).union(links.select("node")).distinct()
     trees, open_links = materialise(best.join(roots, "ancestor", "left_semi"), "trees"), links
-    while not open_links.isEmpty():
+    while left:
         waiting = open_links.select(F.col("top").alias("node")).distinct()
         ready = open_links.join(waiting, "node", "left_anti")
         offers = _offers(ready, trees).select(
@@ -118,19 +119,28 @@ def _settle_merges(
         still = open_links.join(waiting, "node", "left_semi")
         state = _best(trees.unionByName(offers), rank).withColumn("kind", F.lit("tree"))
         state = state.unionByName(still.withColumn("kind", F.lit("link")), allowMissingColumns=True)
-        state = materialise(state, "settled", ("kind",))
+        state, still_left = _written(state, "settled", "link")
         trees = state.filter(F.col("kind") == "tree").select("ancestor", "run", "depth")
-        left = state.filter(F.col("kind") == "link").select("ancestor", "node", "top", "up")
-        # Each round settles a tree at least, unless merges lead back to where they started.
-        if not left.isEmpty() and ready.isEmpty():
+        open_links = state.filter(F.col("kind") == "link").select("ancestor", "node", "top", "up")
+        # Each round uses a link at least, unless merges lead back to where they started.
+        if still_left == left:
             raise LineageCycle("run conversions form a cycle")
-        open_links = left
+        left = still_left
     offers = materialise(_best(_offers(links, trees).select("ancestor", "run", "depth"), rank), "offers")
     for level, jumps in enumerate(levels):
         offers = _best(_also_above(offers, jumps, 2**level), rank)
     return _best(best.unionByName(offers), rank)
 
 
+def _written(state: DataFrame, label: str, kind: str) -> tuple[DataFrame, int]:
+    """The state of a round, written once by kind, and its rows of one kind."""
+    seen = Observation(label)
+    state = state.observe(seen, F.count(F.when(F.col("kind") == kind, 1)).alias("rows"))
+    with keeping_counts(state.sparkSession):
+        state = materialise(state, label, ("kind",))
+    return state, rows_seen(seen)
+
+
 def _offers(links: DataFrame, trees: DataFrame) -> DataFrame:
     """What merged runs offer to their parents: themselves and their best descendant."""
     own = trees.select(F.col("ancestor").alias("node"), "run", F.col("depth").alias("below"))

@@ -75,7 +75,7 @@ def load_full(table: Table, df: DataFrame, where: Column | None = None) -> LoadR
     spark = df.sparkSession
     rows, seen = counted(_typed(table, df if where is None else df.filter(where)), "inserted")
     with keeping_counts(spark):
-        _writer(table, rows, "errorifexists").parquet(table.next_location(spark))
+        table.write(rows, table.next_location(spark))
     table.drop_old(spark)
     return LoadReport(None, rows_seen(seen))
 
@@ -95,7 +95,7 @@ def append(table: Table, df: DataFrame) -> LoadReport:
     spark = df.sparkSession
     rows, seen = counted(_typed(table, df), "inserted")
     with keeping_counts(spark):
-        _writer(table, rows, "append").parquet(table.location(spark))
+        table.write(rows, table.location(spark))
     return LoadReport(0, rows_seen(seen))
 
 
@@ -217,7 +217,7 @@ def _replace_unpartitioned(table: Table, df: DataFrame, marked: DataFrame) -> Lo
     fresh, inserted = counted(_typed(table, df), "inserted")
     kept = old.filter(~F.col("_gone")).drop("_gone")
     with keeping_counts(spark):
-        _writer(table, kept.unionByName(fresh), "errorifexists").parquet(table.next_location(spark))
+        table.write(kept.unionByName(fresh), table.next_location(spark))
     table.drop_old(spark)
     return LoadReport(rows_seen(seen), rows_seen(inserted))
 
@@ -354,16 +354,4 @@ def _typed(table: Table, df: DataFrame) -> DataFrame:
 
 
 def _overwrite(table: Table, rows: DataFrame) -> None:
-    writer = _writer(table, rows, "overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.parquet(table.location(rows.sparkSession))
-
-
-def _writer(table: Table, rows: DataFrame, mode: str):
-    if not table.partition_by:
-        return rows.write.mode(mode)
-    # One file per partition where it is small, several where it is large: the
-    # adaptive plan splits a hot partition instead of giving it to one task.
-    rows = rows.hint("rebalance", *table.partition_by)
-    if table.sort_by:
-        rows = rows.sortWithinPartitions(*table.partition_by, *table.sort_by)
-    return rows.write.mode(mode).partitionBy(*table.partition_by)
+    table.write(rows, table.location(rows.sparkSession), "overwrite")

@@ -188,6 +188,14 @@ PARTITIONS = {
 }
 
 
+# The history that a day's runs are looked up in, by what it is joined on.
+BUCKETS = {
+    "EIS_WIP_FA": ("RUN_NO",),
+    "EIS_WIP_FA_WIP_TRANS": ("RUN_NO",),
+    "EIS_WIP_FA_RUNCARD": ("RUN_NO",),
+    "EIS_DOCUMENT_EER": ("PRODUCT_PART_NO", "EERNO", "JIT_CELL_NO"),
+}
+
 # Report order of the yield mart; its first column is the partition.
 SORTED = {
     "CUMULATIVE_YIELD": ("PRODUCT_FAMILY", "MPT_PART_NO", "LINE_NO", "LAT_LOT_TYPE", "OPERATION_NO"),
@@ -213,7 +221,9 @@ def staging_schema(source: T.StructType, name: str) -> T.StructType:
 def staging_table(lake: Lake, name: str, source: T.StructType | None = None) -> Table:
     """Staging table; by default with only the columns that later plans read."""
     schema = staging_schema(source or ddl(SOURCE_COLUMNS[name]), name)
-    return lake.table("staging", name, schema, PARTITIONS.get(name, ("PLANT",)))
+    return lake.table(
+        "staging", name, schema, PARTITIONS.get(name, ("PLANT",)), bucket_by=BUCKETS.get(name, ())
+    )
 
 
 def telemetry_staging_table(lake: Lake, name: str = "STAGING_DTC_TRANSACTION") -> Table:
