@@ -5,7 +5,7 @@
 * Runs of ``SHARD_TERMS`` numbers each become a minimal acyclic transducer, built by
   the task that holds the run.  The texts are streamed through the transducers for
   the recount: a task counts its terms by language and source and turns each distinct
-  one into its ordinal.  What is broadcast at once is limited to ``SENT_BYTES``; a
+  one into its ordinal, by the transducer of the run in which it would lie.  What is broadcast at once is limited to ``SENT_BYTES``; a
   vocabulary beyond that is sent in turn, one pass over the texts for each load.
 * From there on terms are ordinals, which also break ties: their order is the terms'.
 * ``p = 1 + floor(10^9 (count + 2) / (N + 2V))`` for group and language; the divergence
@@ -27,6 +27,7 @@ are read, so other columns cannot clash.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -42,7 +43,7 @@ from yieldmill.session import materialise
 
 LEAST_DOCS = 10
 TOP = 10
-SHARD_TERMS = 1 << 17
+SHARD_TERMS = 1 << 14
 SENT_BYTES = 32 << 20
 WIDTH = 1024
 HELD = 1 << 18  # counts that a task holds before it passes them on
@@ -114,7 +115,7 @@ def kept_terms(texts: DataFrame) -> DataFrame:
 
 
 def shards(terms: DataFrame) -> DataFrame:
-    """Transducers of runs of ordinals: lang, first ordinal, size in bytes, data."""
+    """Transducers of runs of ordinals: lang, first ordinal and term, size in bytes, data."""
 
     def build(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("ordinal")
@@ -123,6 +124,7 @@ def shards(terms: DataFrame) -> DataFrame:
             {
                 "lang": pa.array([rows.column("lang")[0].as_py()], pa.string()),
                 "first": pa.array([rows.column("ordinal")[0].as_py()], pa.int64()),
+                "least": pa.array([rows.column("term")[0].as_py()], pa.binary()),
                 "size": pa.array([len(data)], pa.int64()),
                 "data": pa.array([data], pa.binary()),
             }
@@ -130,7 +132,7 @@ def shards(terms: DataFrame) -> DataFrame:
 
     shard = F.expr(f"(ordinal - 1) div {SHARD_TERMS}").alias("shard")
     runs = terms.select("lang", "term", "ordinal", shard).groupBy("lang", "shard")
-    return runs.applyInArrow(build, "lang string, first long, size long, data binary")
+    return runs.applyInArrow(build, "lang string, first long, least binary, size long, data binary")
 
 
 def recount(texts: DataFrame, terms: DataFrame) -> DataFrame:
@@ -138,7 +140,7 @@ def recount(texts: DataFrame, terms: DataFrame) -> DataFrame:
     built = materialise(shards(terms), "transducers")
     loads: list[list[int]] = []
     held = SENT_BYTES
-    for row in built.select("first", "size").orderBy("first").collect():  # a row for each 131,072 terms
+    for row in built.select("first", "size").orderBy("first").collect():  # a row for each 16,384 terms
         held += row.size
         if held > SENT_BYTES:
             loads.append([])
@@ -154,13 +156,13 @@ def recount(texts: DataFrame, terms: DataFrame) -> DataFrame:
     return found.groupBy("lang", "source", "ordinal").agg(F.sum("n").alias("n"))
 
 
-def _stream(texts: DataFrame, load: list[tuple[str, int, bytes]]) -> DataFrame:
+def _stream(texts: DataFrame, load: list[tuple[str, int, bytes, bytes]]) -> DataFrame:
     sent = texts.sparkSession.sparkContext.broadcast(load)
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machines: dict[str, list] = {}
-        for lang, first, data in sent.value:
-            machines.setdefault(lang, []).append((first, transducer.Transducer.load(data)))
+        for lang, first, least, data in sorted(sent.value, key=lambda row: row[:2]):
+            machines.setdefault(lang, []).append((least, first, transducer.Transducer.load(data)))
         held = Counts()
         for batch in batches:
             columns = (batch.column("text"), batch.column("lang").to_pylist(), batch.column("source").to_pylist())
@@ -173,15 +175,19 @@ def _stream(texts: DataFrame, load: list[tuple[str, int, bytes]]) -> DataFrame:
 
     def rows(machines: dict[str, list], held: Counts) -> Iterator[pa.RecordBatch]:
         for (lang, source), terms, n in held.empty():
-            for first, machine in machines[lang]:
-                place = machine.ordinals(terms)
+            # The terms of each run in their order; those below the first run are unknown.
+            order = sorted(range(len(terms)), key=terms.__getitem__)
+            terms, n = [terms[k] for k in order], n[order]
+            cuts = [bisect_left(terms, least) for least, _, _ in machines[lang]] + [len(terms)]
+            for low, high, (_, first, machine) in zip(cuts, cuts[1:], machines[lang]):
+                place = machine.ordinals(terms[low:high])
                 known = place >= 0
                 size = int(known.sum())
                 columns = [
                     pa.array([lang] * size, pa.string()),
                     pa.array([source] * size, pa.string()),
                     pa.array(first + place[known]),
-                    pa.array(n[known]),
+                    pa.array(n[low:high][known]),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["lang", "source", "ordinal", "n"])
 
