@@ -344,6 +344,61 @@ def test_pii_threshold_covers_all(spark, monkeypatch):
     assert not any("key" in spans for i, spans in got.items() if i < 100)
 
 
+def pii_texts():
+    """Documents with base spans, disguised ones, secrets, and numbers and words that are neither."""
+    rng = random.Random(8)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnoprstuvw") for _ in range(n))
+    number = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    token = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(40))
+    words_ = lambda n: " ".join(letters(rng.randint(2, 16)) for _ in range(n))
+    rows, planted = [], {}
+    for i in range(600):
+        base = [f"{letters(5)}.{number(2)}@{letters(6)}.com", f"+1 ({number(3)}) 555-{number(4)}", "4944339490429605"]
+        text = f"{words_(15)} {rng.choice(base)} {words_(15)} version {number(1)}.{number(1)}.{number(2)} in {1900 + i % 120} {letters(6)}"
+        if i % 3 == 0:
+            text += f' token = "{token()}" {words_(5)}'
+        if i % 6 == 1:
+            odd = [f"{letters(5)}.{number(2)} (at) {letters(6)}.com", f"{letters(5)}.{number(2)}[at]{letters(6)}.com",
+                   token(), f"+1({number(3)}) 555 {number(4)}".replace("+", "")][i // 6 % 4]
+            start = len(text) + 1
+            text += f" {odd} {words_(5)}"
+            planted[i] = (start, start + len(odd))
+        rows.append((i, text))
+    return rows, planted
+
+
+def test_pii_adds_disguised_spans_and_secrets(spark):
+    rows, planted = pii_texts()
+    found = pii.summarise(pii.spans(spark.createDataFrame(rows, "doc_id long, text string"))).collect()
+    right = wrong = tokens = 0
+    for r in found:
+        text = rows[r.doc_id][1]
+        spans = [(s.split(":")[0], *map(int, s.split(":")[1:])) for s in r.spans.split(",")]
+        for kind, a, b in spans:
+            if kind in pii.PROPOSED:
+                # A proposal may hold a word beside the planted text, and more than one may lie on it.
+                p, q = planted.get(r.doc_id, (0, 0))
+                secret = text.find('token = "') + 9
+                hit = (a < q and p < b) or (secret > 8 and a < secret + 40 and secret < b)
+                wrong += not hit
+        if r.doc_id in planted:
+            p, q = planted[r.doc_id]
+            right += any(kind in pii.PROPOSED and a < q and p < b for kind, a, b in spans)
+        if 'token = "' in text:
+            tokens += any(kind == "key" and text[a:b] == text[text.find('token = "') + 9:][:40] for kind, a, b in spans)
+    assert tokens == 200 and right >= 0.9 * len(planted) and wrong <= 0.02 * (right + tokens)
+
+
+def test_pii_redacts_rows_and_not_ids(spark):
+    rows = [(1, "mail a.b@c.de now"), (1, "a completely different text which has no data"), (None, "x.y@z.org"),
+            (None, None), (2, "")]
+    table = spark.createDataFrame([(*row, 7) for row in rows], "doc_id long, text string, row int")
+    red = pii.redact(table)
+    assert red.columns == table.columns
+    want = [("mail [email] now", 7), (rows[1][1], 7), ("[email]", 7), (None, 7), ("", 7)]
+    assert sorted(((r.text, r.row) for r in red.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_pii_chain_is_redacted_whole(spark, monkeypatch):
     """Proposals that hang together only through another one are added too."""
     monkeypatch.setattr(pii, "calibrate", lambda scored: -1e9)
