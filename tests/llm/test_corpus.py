@@ -501,3 +501,168 @@ def test_pipeline_stages(spark, tmp_path):
     packed = out.groupBy("doc_id").agg(F.sum("length").alias("n")).collect()
     known = {r.doc_id for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
     assert packed and {r.doc_id for r in packed} <= known
+
+
+def walked(model, row):
+    """The trees' score of one row, node by node."""
+    total = model.start
+    for feature, threshold, value in zip(model.feature, model.threshold, model.value):
+        node = 0
+        while node < 2**model.depth - 1:
+            node = 2 * node + (2 if row[feature[node]] > threshold[node] else 1)
+        total += value[node - (2**model.depth - 1)]
+    return 1 / (1 + np.exp(-total))
+
+
+def test_trees_equal_a_walk_row_by_row():
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(size=(400, 5)), 2)
+    y = (x[:, 0] + x[:, 1] * x[:, 2] > 0.2).astype(float)
+    model = boosting.fit(x, y, rounds=15)
+    assert np.allclose(model.score(x), [walked(model, row) for row in x])
+    assert ((model.score(x) > 0.5) == y).mean() > 0.9
+
+
+def cheapest(sizes, lengths):
+    """The least cost of any packing of a few pieces."""
+    best = [float("inf")]
+
+    def put(k, bins):
+        if k == len(sizes):
+            best[0] = min(best[0], sum(packing.sequence_cost(min(n for n in lengths if n >= b)) for b in bins))
+            return
+        for i in range(len(bins) + 1):
+            new = [*bins, 0] if i == len(bins) else list(bins)
+            new[i] += sizes[k]
+            if new[i] <= max(lengths):
+                put(k + 1, new)
+
+    put(0, [])
+    return best[0]
+
+
+def plain_best_fit(sizes, length):
+    """Final cost of best fit with one length only."""
+    bins = []
+    for size in sizes:
+        fits = [i for i, b in enumerate(bins) if b + size <= length]
+        if fits:
+            bins[max(fits, key=lambda i: bins[i])] += size
+        else:
+            bins.append(size)
+    return sum(packing.sequence_cost(length) for _ in bins)
+
+
+def test_packing_against_the_optimum_and_plain_best_fit():
+    rng = random.Random(4)
+    lengths = (64, 128, 512)
+    for _ in range(60):
+        sizes = sorted((rng.randint(1, 512) for _ in range(rng.randint(1, 6))), reverse=True)
+        cost = packing.pack_pieces(sizes, lengths, packing.sequence_cost)[2]
+        assert cheapest(sizes, lengths) <= cost <= 1.25 * cheapest(sizes, lengths)
+    for _ in range(20):
+        sizes = sorted((rng.choice([rng.randint(1, 60), rng.randint(1, 512)]) for _ in range(300)), reverse=True)
+        chosen, final, cost = packing.pack_pieces(sizes, lengths, packing.sequence_cost)
+        filled = np.bincount(chosen, sizes)
+        assert all(f <= n and n == min(m for m in lengths if m >= f) for f, n in zip(filled, final))
+        assert cost <= plain_best_fit(sizes, lengths[-1])
+
+
+def plain_dedup(rows):
+    """Line dedup in plain Python: kept text per row, None for documents that lose all words."""
+    lines = [(i, n, words(line.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))))
+             for i, t, *_ in sorted((r for r in rows if r[0] is not None and r[1] is not None), key=lambda r: r[0])
+             for n, line in enumerate(t.split("\n"))]
+    gone, seen = set(), []
+    for i, n, w in lines:
+        if len(w) >= 3:
+            near = [v for v in seen if v == w or len(w) >= 8 and len(v) >= 8 and abs(len(v) - len(w)) < 2 and edits(v, w) <= 1]
+            if near:
+                gone.add((i, n))
+            if w not in seen:
+                seen.append(w)
+    return gone
+
+
+def test_pipeline_stages_against_plain_python(spark, tmp_path):
+    """Every stage on nulls, empty and long texts, ties, repeated rows and clashing names."""
+    base = [r for r in corpus() if len(words(r[1])) < 700]
+    rows = [(i, t, lang, source, len(t or ""), "score", i) for i, t, lang, source, *_ in base]
+    rows += [(500 + i, " ".join(["$$$ ### %%%", "!!", "&"][j % 3] for j in range(20 + i)), "en", "b", 5, "y", i) for i in range(60)]
+    rows += [rows[3], rows[3], (None, "a text without an id but words", "en", None, 3, "x", 1), (None, None, None, None, None, None, None)]
+    docs = spark.createDataFrame(
+        rows, "doc_id long, text string, lang string, source string, n_chars long, score string, length long"
+    )
+    marked = [(i, int(i < 500), 0) for i, *_ in rows if i is not None and i % 4]
+    spark.createDataFrame(marked, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    held, stages = docs, dict(corpus_pipeline.STAGES)
+
+    def stage(name, frame):
+        out = stages[name](spark, frame, str(tmp_path))
+        out.write.parquet(f"{tmp_path}/{name}")
+        found = spark.read.parquet(f"{tmp_path}/{name}")
+        return found, [tuple(r) for r in found.collect()]
+
+    # Classifier: what the scores of op4 say, for whole rows.
+    labels = spark.read.parquet(f"{tmp_path}/labels.parquet")
+    good = sorted((repr(r.doc_id) for r in quality_classifier.classify(docs, labels).collect() if r.predicted))
+    held, kept = stage("quality classifier", held)
+    assert held.columns == docs.columns and sorted(repr(r[0]) for r in kept) == good
+    assert set(map(repr, kept)) <= set(map(repr, rows)) and len(kept) < len(rows)
+
+    gone = plain_dedup(kept)
+    want = []
+    for r in kept:
+        lines = (r[1] or "").split("\n")
+        left = [line for n, line in enumerate(lines) if (r[0], n) not in gone]
+        if r[0] is None or r[1] is None or len(left) == len(lines):
+            want.append((*r[:4], None if r[1] is None else len(r[1]), *r[5:]))
+        elif any(map(words, left)):
+            text = "\n".join(left)
+            want.append((r[0], text, *r[2:4], len(text), *r[5:]))
+    held, found = stage("line dedup", held)
+    # Rows of one id are one document there; which of them keeps its lines is not stated.
+    once = lambda some: sorted(set(map(repr, some)))
+    assert held.columns == docs.columns and once(found) == once(want)
+
+    links = groups_of(found)
+    own = {i for i, _, c in links if i is not None and i == c}
+    held, left = stage("n-gram Jaccard join", held)
+    assert sorted(r[0] for r in left if r[0] is not None) == sorted(own)
+    assert sorted(map(repr, (r for r in left if r[0] is None))) == sorted(map(repr, (r for r in found if r[0] is None)))
+
+    held, mixed = stage("mixing", held)
+    sizes, taken = defaultdict(int), defaultdict(int)
+    texts = defaultdict(list)
+    for r in left:
+        sizes[r[3]] += len(words(r[1]))
+        texts[r[0], r[3]].append(words(r[1]))
+    for r in mixed:
+        taken[r[3]] += len(words(r[1]))
+        assert any(whole[: len(words(r[1]))] == words(r[1]) for whole in texts[r[0], r[3]]) and r[4] == len(r[1])
+    order = sorted((s for s in sizes), key=lambda s: (s is None, s or ""))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    full, level = set(), 0
+    while True:
+        level = (1.5 * sum(sizes.values()) - sum(2 * sizes[s] for s in full)) / sum(weight[s] for s in order if s not in full)
+        more = {s for s in order if s not in full and level * weight[s] > 2 * sizes[s]}
+        if not more:
+            break
+        full |= more
+    assert {s: taken[s] for s in order} == {s: int(2 * sizes[s] if s in full else level * weight[s]) for s in order}
+
+    _, packed = stage("packing", held)
+    pieces = defaultdict(int)
+    for doc, _, _, length, *_ in packed:
+        pieces[doc] += length
+    want = defaultdict(int)
+    for r in mixed:
+        want[r[0]] += len(words(r[1]))
+    assert dict(pieces) == dict(want)
+    # An empty table goes through all stages but has nothing to fit the classifier to.
+    none = held.limit(0)
+    for name in list(stages)[1:]:
+        stages[name](spark, none, str(tmp_path)).write.parquet(f"{tmp_path}/none {name}")
+        none = spark.read.parquet(f"{tmp_path}/none {name}")
+    assert none.count() == 0
