@@ -221,6 +221,18 @@ def test_touched_partitions_stay_off_the_driver(spark, lake):
     assert values(made.read(spark).filter("v = 'new'"), "id") == [(215,), (5,)]
 
 
+def test_the_search_for_touched_partitions_is_pruned(spark, lake, monkeypatch):
+    made, new = dayed(spark, lake)
+    searched = []
+    plain = loads._replace_touched
+    monkeypatch.setattr(loads, "_replace_touched", lambda t, df, found, *more: searched.append(found) or plain(t, df, found, *more))
+    where = (F.col("day") == F.lit(date(2024, 1, 4))) & (F.col("id") < 75)
+    assert loads.replace_where(made, new.filter(where), where) == loads.LoadReport(3, 3)
+    plan = searched[0]._jdf.queryExecution().executedPlan().toString()
+    assert "day" in plan.split("PartitionFilters:")[1].split("PushedFilters")[0]
+    assert "LessThan(id,75)" in plan
+
+
 def test_counts_come_from_the_write(spark, lake):
     made = table(spark, lake, "machine")
     assert loads.append(made, rows(spark, *SEED)).inserted == 5

@@ -133,7 +133,8 @@ def replace_where(
     if within:
         return _replace_within(table, df, gone, within)
     target = table.read(spark)
-    return _replace_touched(table, df, target.filter(gone), lambda rows: rows.filter(~gone), before)
+    # The bare predicate, so that its parts reach the partitions and the row groups.
+    return _replace_touched(table, df, target.filter(where), lambda rows: rows.filter(~gone), before)
 
 
 def replace_batch(
