@@ -43,7 +43,7 @@ from yieldmill.session import materialise
 
 LEAST_DOCS = 10
 TOP = 10
-SHARD_TERMS = 1 << 14
+SHARD_TERMS = 1 << 17
 SENT_BYTES = 32 << 20
 WIDTH = 1024
 HELD = 1 << 18  # counts that a task holds before it passes them on
@@ -140,7 +140,7 @@ def recount(texts: DataFrame, terms: DataFrame) -> DataFrame:
     built = materialise(shards(terms), "transducers")
     loads: list[list[int]] = []
     held = SENT_BYTES
-    for row in built.select("first", "size").orderBy("first").collect():  # a row for each 16,384 terms
+    for row in built.select("first", "size").orderBy("first").collect():  # a row for each 131,072 terms
         held += row.size
         if held > SENT_BYTES:
             loads.append([])
@@ -174,23 +174,35 @@ def _stream(texts: DataFrame, load: list[tuple[str, int, bytes, bytes]]) -> Data
         yield from rows(machines, held)
 
     def rows(machines: dict[str, list], held: Counts) -> Iterator[pa.RecordBatch]:
-        for (lang, source), terms, n in held.empty():
-            # The terms of each run in their order; those below the first run are unknown.
-            order = sorted(range(len(terms)), key=terms.__getitem__)
-            terms, n = [terms[k] for k in order], n[order]
-            cuts = [bisect_left(terms, least) for least, _, _ in machines[lang]] + [len(terms)]
-            for low, high, (_, first, machine) in zip(cuts, cuts[1:], machines[lang]):
-                place = machine.ordinals(terms[low:high])
-                known = place >= 0
-                size = int(known.sum())
+        groups = list(held.empty())
+        for lang in dict.fromkeys(group[0] for group, _, _ in groups):
+            own = [(group[1], terms, n) for group, terms, n in groups if group[0] == lang]
+            # A term goes through its transducer once, however many sources have it.
+            place = places(machines[lang], list(set().union(*(terms for _, terms, _ in own))))
+            for source, terms, n in own:
+                found = np.array([place.get(term, -1) for term in terms], np.int64)
+                size = int((found >= 0).sum())
                 columns = [
                     pa.array([lang] * size, pa.string()),
                     pa.array([source] * size, pa.string()),
-                    pa.array(first + place[known]),
-                    pa.array(n[low:high][known]),
+                    pa.array(found[found >= 0]),
+                    pa.array(n[found >= 0]),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["lang", "source", "ordinal", "n"])
 
+    def places(runs: list, terms: list[bytes]) -> dict[bytes, int]:
+        """Ordinals of the terms that are kept, each from the run in which it would lie."""
+        if len(runs) > 1:
+            terms.sort()
+        # Terms below the first run are unknown to it, as they are to all others.
+        cuts = [0, *(bisect_left(terms, least) for least, _, _ in runs[1:]), len(terms)]
+        known = {}
+        for low, high, (_, first, machine) in zip(cuts, cuts[1:], runs):
+            place = machine.ordinals(terms[low:high])
+            hit = np.flatnonzero(place >= 0)
+            known.update((terms[low + k], first + place[k]) for k in hit.tolist())
+        return known
+
     return texts.mapInArrow(stream, "lang string, source string, ordinal long, n long")
 
 
