@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shopfloor import views
 from shopfloor.registry import query
-from shopfloor.views import load, sql
+from shopfloor.views import sql
 from yieldmill import sources, streaming
 from yieldmill.functions import spc
 from yieldmill.operators import loads

@@ -90,12 +90,9 @@ MOVE_VIEWS = "cards docs moves start_ops"
 ALL_VIEWS = MOVE_VIEWS + " transactions operations"
 
 
-def move_frames(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The frames of the move facts, each computed once: the facts read them several times."""
-    return {
-        name: materialise(getattr(views, name)(spark, folder), name)
-        for name in ("cards", "docs", "moves", "start_ops")
-    }
+def move_frames(spark: SparkSession, folder: str, names: str = MOVE_VIEWS) -> dict[str, DataFrame]:
+    """The frames that a move fact reads, each computed once: it reads them several times."""
+    return {name: materialise(getattr(views, name)(spark, folder), name) for name in names.split()}
 
 
 @query(sql(MOVE_VIEWS, WIP_SQL))
@@ -121,19 +118,19 @@ def wip_moves_month(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(sql("cards docs moves", MATERIAL_SQL))
 def material_moves(spark: SparkSession, folder: str) -> DataFrame:
-    f = move_frames(spark, folder)
+    f = move_frames(spark, folder, "cards docs moves")
     return facts.material_moves(f["moves"], f["cards"], f["docs"], WINDOW)
 
 
 @query(sql(ALL_VIEWS, TRANS_SQL, totals=TOTALS_SQL))
 def trans_moves(spark: SparkSession, folder: str) -> DataFrame:
-    f = move_frames(spark, folder)
+    f = move_frames(spark, folder, ALL_VIEWS)
     return facts.trans_moves(
-        views.transactions(spark, folder),
+        f["transactions"],
         f["cards"],
         f["docs"],
         f["moves"],
-        views.operations(spark, folder),
+        f["operations"],
         f["start_ops"],
         WINDOW,
     )
@@ -147,13 +144,13 @@ def trans_moves(spark: SparkSession, folder: str) -> DataFrame:
     )
 )
 def trans_moves_month(spark: SparkSession, folder: str) -> DataFrame:
-    f = move_frames(spark, folder)
+    f = move_frames(spark, folder, ALL_VIEWS)
     return facts.trans_moves(
-        views.transactions(spark, folder),
+        f["transactions"],
         f["cards"],
         f["docs"],
         f["moves"],
-        views.operations(spark, folder),
+        f["operations"],
         f["start_ops"],
         MONTH,
     )
@@ -201,13 +198,13 @@ def trans_moves_stored(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def all_moves(spark: SparkSession, folder: str, material: bool) -> DataFrame:
-    f = move_frames(spark, folder)
+    f = move_frames(spark, folder, ALL_VIEWS)
     return facts.all_moves(
         f["moves"],
-        views.transactions(spark, folder),
+        f["transactions"],
         f["cards"],
         f["docs"],
-        views.operations(spark, folder),
+        f["operations"],
         f["start_ops"],
         WINDOW,
         views.LOOK_BACK_AS_OF,
@@ -241,7 +238,7 @@ def move_union(spark: SparkSession, folder: str) -> DataFrame:
     )
 )
 def not_in_subquery(spark: SparkSession, folder: str) -> DataFrame:
-    f = move_frames(spark, folder)
+    f = move_frames(spark, folder, "docs moves start_ops")
     start_ops, kind = f["start_ops"], F.col("TYPE")
     operation = F.col("OPERATION_NO")
     lists = {

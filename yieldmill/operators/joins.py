@@ -121,8 +121,3 @@ def unify_plants(frames: Mapping[str, DataFrame]) -> DataFrame:
     """
     tagged = [df.withColumn("PLANT", F.lit(plant)) for plant, df in frames.items()]
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), tagged)
-
-
-def eq_all(pairs: Sequence[tuple[Column, Column]]) -> Column:
-    """Conjunction of equalities."""
-    return reduce(lambda left, right: left & right, [a == b for a, b in pairs])
