@@ -132,7 +132,8 @@ def test_top_k(spark):
     rng = np.random.default_rng(3)
     rows = [(i, [float(x) for x in rng.normal(size=4)], "x") for i in range(300)]
     rows += [(300, rows[7][1], "x"), (50, rows[50][1], "x"), (301, None, "x"), (302, [1.0, None, 0.0, 0.0], "x"),
-             (303, [float("nan")] * 4, "x"), (350, [1.0], "x"), (None, rows[9][1], "x"), (400, [1e12] * 4, "x")]
+             (303, [float("nan")] * 4, "x"), (350, [1.0], "x"), (None, rows[9][1], "x"), (400, [1e12] * 4, "x"),
+             (401, [30.0, 60.0, -30.0, 0.5], "x")]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score string")
     got = topk.exact_top_k(table, F.col("vec_id") % 50 == 0, query_block=3).collect()
     good = [(i, [int(np.floor(256 * x)) for x in v]) for i, v, _ in rows

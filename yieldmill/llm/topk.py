@@ -31,7 +31,7 @@ PIVOTS = 16
 SAMPLE = 512  # rows the pivots and first scores are taken from
 QUERY_BLOCK = 2048
 STEP = 128  # candidates scored at once, doubled from step to step
-CELLS = 1 << 22  # of a bound matrix
+CELLS = 1 << 18  # of a bound matrix, 2 MB
 NO_ID = np.iinfo(np.int64).max  # stands for a null id and so sorts last
 
 
@@ -42,16 +42,6 @@ def scaled(vector: Column) -> Column:
     return F.when(good, F.transform(vector, lambda v: F.floor(F.lit(256.0) * x(v)).cast("long")))
 
 
-def inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact products of whole-number rows; in floating point where that is exact."""
-    if not a.size or not b.size:
-        return np.zeros((len(a), len(b)), np.int64)
-    most = float(np.abs(a).max()) * float(np.abs(b).max()) * a.shape[1]
-    if most < 2**52:
-        return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return a @ b.T
-
-
 def distances(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     if not len(vectors) or not len(pivots):
         return np.zeros((len(vectors), len(pivots)))
@@ -72,7 +62,10 @@ def spread_out(sample: np.ndarray, count: int) -> np.ndarray:
 
 def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Places of the k highest scores, ties to smaller ids."""
-    return np.lexsort((ids, -scores))[:k]
+    able = np.arange(len(scores))
+    if len(scores) > k > 0:
+        able = np.flatnonzero(scores >= np.partition(scores, len(scores) - k)[len(scores) - k])
+    return able[np.lexsort((ids[able], -scores[able]))[:k]]
 
 
 class Vectors:
@@ -84,8 +77,21 @@ class Vectors:
         self.id = np.array([NO_ID if v is None else v for v in columns["id"].to_pylist()], np.int64)
         pile = lambda name, kind: np.frombuffer(b"".join(columns[name].to_pylist()), kind).reshape(len(self.row), -1)
         self.vector = pile("vector", "<i8") if size else np.zeros((len(self.row), 0), np.int64)
-        self.away = pile("away", "<f8") if len(columns["away"]) and len(columns["away"][0].as_py()) else np.zeros((len(self.row), 0))
+        # One pivot's distances lie together.
+        self.away = np.asfortranarray(pile("away", "<f8")) if len(columns["away"]) and len(columns["away"][0].as_py()) else np.zeros((len(self.row), 0))
+        self.most = float(np.abs(self.vector.astype(np.float64)).max(initial=0))
         self.norm = (self.vector.astype(np.float64) ** 2).sum(1)
+        # Whole numbers below 2^24 are exact in the shorter form, which moves half the bytes.
+        short = self.most**2 * size < 2**24
+        self.plain = self.vector.astype(np.float32 if short else np.float64)
+
+    def scores(self, places: np.ndarray, other: Vectors, i: int) -> np.ndarray:
+        """Exact products of rows with row ``i`` of ``other``; in floating point where that is exact."""
+        most = self.most * other.most * self.plain.shape[1]
+        short = self.plain.dtype == other.plain.dtype == np.float32 and most < 2**24
+        if short or most < 2**52 and self.plain.dtype == other.plain.dtype == np.float64:
+            return (self.plain[places] @ other.plain[i]).astype(np.int64)
+        return self.vector[places] @ other.vector[i]
 
 
 def search(queries: Vectors, floor: np.ndarray, rows: Vectors, k: int) -> Iterator[tuple]:
@@ -95,8 +101,10 @@ def search(queries: Vectors, floor: np.ndarray, rows: Vectors, k: int) -> Iterat
     for low in range(0, len(queries.row), per_block):
         part = slice(low, low + per_block)
         gap = np.zeros((len(queries.row[part]), len(rows.row)))
+        apart = np.empty_like(gap)
         for p in range(shared):
-            np.maximum(gap, np.abs(queries.away[part, p, None] - rows.away[None, :, p]), out=gap)
+            np.subtract(queries.away[part, p, None], rows.away[None, :, p], out=apart)
+            np.maximum(gap, np.abs(apart, out=apart), out=gap)
         norms = queries.norm[part, None] + rows.norm[None, :]
         if shared:
             # A little is added for rounding, so that no bound falls below a true score.
@@ -106,12 +114,12 @@ def search(queries: Vectors, floor: np.ndarray, rows: Vectors, k: int) -> Iterat
         for i in range(len(bound)):
             q = low + i
             order = np.flatnonzero((bound[i] >= floor[q]) & (rows.row != queries.row[q]))
-            order = order[np.argsort(-bound[i, order], kind="stable")]
+            order = order[np.argsort(-bound[i, order])]
             scores, taken, limit, at, step = np.zeros(0, np.int64), np.zeros(0, np.int64), floor[q], 0, STEP
             # Ties at the limit may still win by a smaller id, so only a lower bound stops.
             while at < len(order) and bound[i, order[at]] >= limit:
-                some = order[at : at + step]
-                new = inner(rows.vector[some], queries.vector[q : q + 1])[:, 0]
+                some = np.sort(order[at : at + step])  # near in memory
+                new = rows.scores(some, queries, q)
                 scores, taken = np.append(scores, new), np.append(taken, some)
                 keep = best(scores, rows.id[taken], k)
                 scores, taken = scores[keep], taken[keep]
