@@ -245,6 +245,18 @@ def test_a_load_that_dies_after_its_rows_is_repeated_as_it_was(spark, tmp_path,
         schemas.telemetry_staging_table(house.lake), batch))
     assert house.reload_events(batch, date(2024, 1, 2)) == loads.LoadReport(1, 1)
     assert values(fact.read(spark).filter("Date = '2024-01-02'"), "Value", "INF_SLICE_ID") == [("9", 0)]
+    labels = [
+        ("process_FACT_DATA_CON_TRANSACTION", "STAGING_DTC_TRANSACTION_REDIS"),
+        ("process_FACT_DATA_CON_TRANSACTION_ADHOC", "STAGING_DTC_TRANSACTION"),
+    ]
+    loaded = fact.read(spark).select("INF_SESS_NAME", "SOURCE_TABLE_NAME")
+    assert values(loaded.distinct(), "INF_SESS_NAME", "SOURCE_TABLE_NAME") == labels
+    # One machine's day is a rerun: the session of the daily load, the fact as its source.
+    house.reload_events(batch, date(2024, 1, 2), "DTC140")
+    rerun = fact.read(spark).filter("Date = '2024-01-02'")
+    assert values(rerun, "INF_SESS_NAME", "SOURCE_TABLE_NAME") == [
+        ("process_FACT_DATA_CON_TRANSACTION", "FACT_DATA_CON_TRANSACTION")
+    ]
 
 
 def test_a_replayed_micro_batch_leaves_the_same_rows(spark, tmp_path):

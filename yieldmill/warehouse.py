@@ -23,8 +23,10 @@ from yieldmill.sources.files import read_csv
 from yieldmill.sources.lake import Lake, Table
 from yieldmill.streaming import BY_BATCH, STREAM_BATCH, stream_append, stream_json, stream_text
 
-# Session and table names of the telemetry jobs.
+# Session, source and table names of the telemetry jobs.
 TELEMETRY_SESSION = "process_FACT_DATA_CON_TRANSACTION"
+ADHOC_SESSION = "process_FACT_DATA_CON_TRANSACTION_ADHOC"
+RERUN_SOURCE = "FACT_DATA_CON_TRANSACTION"
 ARRIVALS = "STAGING_DTC_TRANSACTION_REDIS"
 COLLECTED = "STAGING_DTC_TRANSACTION"
 
@@ -403,7 +405,8 @@ class Warehouse:
             return LoadReport(0, 0)
         staged = schemas.telemetry_staging_table(self.lake, name).read(self.spark)
         rows = telemetry.incremental_slice(staged, part.after, part.upto)
-        events = self._event_rows(rows, batch, name, not shadow, part.number)
+        source = RERUN_SOURCE if shadow else name
+        events = self._event_rows(rows, batch, source, not shadow, part.number)
         report = loads.overwrite_partitions(table, events)
         self._mark_slice(name, table, part, done=True)
         return report
@@ -411,13 +414,18 @@ class Warehouse:
     def reload_events(
         self, batch: Batch, day: date, machine: str | None = None
     ) -> LoadReport:
-        """Replace the telemetry of a day, of one machine (exact names) or of all."""
+        """Replace the telemetry of a day, of one machine (exact names) or of all.
+
+        The rows of a machine carry the labels of a rerun, those of all machines the
+        labels of an ad-hoc load.
+        """
         staged = schemas.telemetry_staging_table(self.lake, COLLECTED).read(self.spark)
         rows = self._event_rows(
             staged.filter(telemetry.collected_on(day, machine)),
             batch,
-            COLLECTED,
+            COLLECTED if machine is None else RERUN_SOURCE,
             ignore_case=machine is None,
+            session=ADHOC_SESSION if machine is None else TELEMETRY_SESSION,
         )
         values = {"Date": day} if machine is None else {"MachineNo": machine, "Date": day}
         return loads.replace_values(self._events_table(False), rows, values)
@@ -496,9 +504,10 @@ class Warehouse:
         source: str,
         ignore_case: bool = True,
         part: int = RELOADED,
+        session: str = TELEMETRY_SESSION,
     ) -> DataFrame:
         limits = self.master("DATA_CON_PARAM_SPEC")
-        rows = telemetry.fact_events(staged, limits, batch, TELEMETRY_SESSION, source, ignore_case)
+        rows = telemetry.fact_events(staged, limits, batch, session, source, ignore_case)
         return rows.withColumn("INF_SLICE_ID", F.lit(part).cast("long"))
 
     @staticmethod
