@@ -169,8 +169,10 @@ def stored(spark: SparkSession, folder: str, buckets: int) -> dict[str, DataFram
     for view, name in tables.items():
         rows = getattr(views, view)(spark, folder)
         rows = rows.select(*schemas.ddl(schemas.SOURCE_COLUMNS[name]).names)
+        # Dealt by bucket before the audit columns widen them; a task writes whole buckets.
+        rows = rows.repartition(buckets, *schemas.BUCKETS[name])
         # Some thousand days of few rows would be that many files in each bucket.
-        table = replace(schemas.staging_table(lake, name, rows.schema), partition_by=("PLANT",))
+        table = replace(schemas.staging_table(lake, name, rows.schema), partition_by=("PLANT",), dealt=True)
         loads.load_full(table, staging.staged(rows, name, PLANT, BATCH))
         found[view] = table.read(spark)
     return found

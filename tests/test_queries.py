@@ -109,3 +109,14 @@ def test_first_shuffle_of_the_star_join_is_of_key_sums(spark):
     scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "INPUT_QTY" in line)
     up = [line for line in lines[:scan] if "Exchange" in line or "Aggregate" in line or "Join" in line]
     assert "partial_sum(INPUT_QTY" in up[-1] and "ROUTE_OPERATION_NO_KEY" in up[-2] and "Exchange" in up[-2]
+
+
+def test_stored_rows_are_dealt_once_and_packed(spark):
+    from shopfloor import warehouse_queries
+
+    tables = warehouse_queries.stored(spark, FOLDER, buckets=4)
+    for df in tables.values():
+        names = [name.rsplit("/", 1)[-1] for name in df.inputFiles()]
+        assert names and all(name.endswith(".zstd.parquet") for name in names)
+        buckets = [name.split("_")[-1].split(".")[0] for name in names]
+        assert len(buckets) == len(set(buckets))
