@@ -120,3 +120,13 @@ def test_stored_rows_are_dealt_once_and_packed(spark):
         assert names and all(name.endswith(".zstd.parquet") for name in names)
         buckets = [name.split("_")[-1].split(".")[0] for name in names]
         assert len(buckets) == len(set(buckets))
+
+
+def test_run_cards_are_numbered_before_their_audit_columns(spark, monkeypatch):
+    from yieldmill.operators import keys
+
+    seen, write = [], keys.materialise
+    monkeypatch.setattr(keys, "materialise", lambda df, label: seen.append(df.columns) or write(df, label))
+    df = QUERIES["dim_runcard"](spark, FOLDER)
+    assert seen and not any("REC_ID" in columns for columns in seen)
+    assert df.filter("INF_SESS_NAME IS NULL").isEmpty()

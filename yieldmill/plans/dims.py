@@ -448,16 +448,12 @@ def keyed_runs(rows: DataFrame, products: DataFrame, lines: DataFrame, plant: st
 
 
 def dim_runcard(source: DataFrame, target: DataFrame, batch: Batch, plant: str) -> DataFrame:
-    """New run cards of the plant, with the block that their key lies in."""
-    rows = with_audit(
-        source,
-        f"EIS_WIP_FA_RUNCARD_{plant}",
-        _session("SFC_RUNCARD_DIM", plant),
-        batch,
-        ["PLANT", "RUNCARD_NO", "EER_NO", "PRODUCT_PART_NO_KEY", "LINE_NO_KEY", "CREATED_DATE"],
-    )
+    """New run cards of the plant, with the block that their key lies in.
+
+    The audit columns, which are wider than the card, are added after the numbering.
+    """
     new = _new_rows(
-        rows,
+        source,
         target,
         ["RUNCARD_NO", "PLANT"],
         "RUNCARD_NO_KEY",
@@ -472,6 +468,13 @@ def dim_runcard(source: DataFrame, target: DataFrame, batch: Batch, plant: str)
             "CREATED_DATE",
         ],
     )
+    new = with_audit(
+        new,
+        f"EIS_WIP_FA_RUNCARD_{plant}",
+        _session("SFC_RUNCARD_DIM", plant),
+        batch,
+        ["PLANT", "RUNCARD_NO", "EER_NO", "PRODUCT_PART_NO_KEY", "LINE_NO_KEY", "CREATED_DATE"],
+    )
     return new.withColumn("KEY_BLOCK", key_block("RUNCARD_NO_KEY"))
 
 
