@@ -111,6 +111,30 @@ def test_first_shuffle_of_the_star_join_is_of_key_sums(spark):
     assert "partial_sum(INPUT_QTY" in up[-1] and "ROUTE_OPERATION_NO_KEY" in up[-2] and "Exchange" in up[-2]
 
 
+def planned(spark, build):
+    """The lines of a plan without broadcasts, as of tables that are too large for them."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return build()._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_union_of_moves_removes_repeats_where_the_moves_lie(spark):
+    lines = planned(spark, lambda: QUERIES["move_union"](spark, FOLDER))
+    assert any("Union" in line for line in lines)
+    assert not any("Exchange hashpartitioning(DATE_BEGIN#" in line for line in lines)
+
+
+def test_moves_meet_dimensions_without_a_copy_of_the_union(spark):
+    """Transactions are dealt by run and product, as the moves lie, and no union is written before."""
+    lines = planned(spark, lambda: QUERIES["surrogate_lookup"](spark, FOLDER))
+    assert any("Union" in line for line in lines)
+    dealt = [line for line in lines if "REPARTITION_BY_COL" in line]
+    assert dealt and all("hashpartitioning(RUN_NO#" in line for line in dealt)
+
+
 def test_stored_rows_are_dealt_once_and_packed(spark):
     from shopfloor import warehouse_queries
 

@@ -333,6 +333,8 @@ def all_moves(
 ) -> DataFrame:
     """Moves and transactions; with the material branch equal rows are removed at the end."""
     trans_rows = trans_moves(trans, cards, docs, wip, operations, start_ops, window)
+    # The few transactions are dealt as their join leaves the moves, which then stay in place.
+    trans_rows = trans_rows.repartition("RUN_NO", "PRODUCT_PART_NO")
     if material:
         rows = wip_or_material_moves(wip, cards, docs, start_ops, window, as_of)
         return union_all([rows, trans_rows], distinct=True)
@@ -363,8 +365,16 @@ def fact_runcard(
     rows = moves.withColumn("_day", F.to_date("DATE_BEGIN"))
     rows = lookup_key(rows, dates, {"_day": "DATE_BEGIN"}, ["DATE_KEY"])
     rows = lookup_key(rows, own(lines), {"JIT_CELL_NO": "LINE_NO"}, ["LINE_NO_KEY"])
+    # Cards meet their products first: moves, which lie by run and product already, are then
+    # not dealt again for either key.
+    numbered = cards.select("RUNCARD_NO", "PRODUCT_PART_NO_KEY", "RUNCARD_NO_KEY").join(
+        own(products).select("PRODUCT_PART_NO", "PRODUCT_PART_NO_KEY"), "PRODUCT_PART_NO_KEY"
+    )
     rows = lookup_key(
-        rows, own(products), {"PRODUCT_PART_NO": "PRODUCT_PART_NO"}, ["PRODUCT_PART_NO_KEY"]
+        rows,
+        numbered,
+        {"RUN_NO": "RUNCARD_NO", "PRODUCT_PART_NO": "PRODUCT_PART_NO"},
+        ["PRODUCT_PART_NO_KEY", "RUNCARD_NO_KEY"],
     )
     steps = routing.withColumn("_sequence", F.col("OPERATION_SEQ").try_cast("int"))
     rows = lookup_key(
@@ -379,12 +389,6 @@ def fact_runcard(
         },
         ["ROUTE_OPERATION_NO_KEY"],
     )
-    rows = lookup_key(
-        rows,
-        cards,
-        {"RUN_NO": "RUNCARD_NO", "PRODUCT_PART_NO_KEY": "PRODUCT_PART_NO_KEY"},
-        ["RUNCARD_NO_KEY"],
-    )
     rows = lookup_key(rows, machines, {"MACHINE_NO": "MACHINE_NO"}, ["MACHINE_NO_KEY"], "left")
     return rows.select(
         "DATE_KEY",
