@@ -257,6 +257,32 @@ def test_lineage_of_runs_with_two_parents(spark, latest):
     assert last(spark, edges, latest) == expected
 
 
+def test_lineage_of_merges_in_a_row_takes_few_rounds(spark, monkeypatch):
+    """A chain whose runs are all merged from two halves like any other, and no round holds more links."""
+    edges = chain(48) + [(run, f"x{run}") for run, _ in chain(48)]
+    rounds = []
+    written = lineage._written
+
+    def counted(*args):
+        state, left = written(*args)
+        rounds.append(left)
+        return state, left
+
+    monkeypatch.setattr(lineage, "_written", counted)
+    expected = {root: max(found.items()) for root, found in walk(set(edges)).items()}
+    assert last(spark, edges) == expected
+    assert len(rounds) <= 9 and max(rounds) == len(edges)
+
+
+def test_lineage_handles_settled_runs_that_links_reach_late(spark):
+    """Links that moved on to a run after it was settled still get its best descendant."""
+    edges = [("z", "a")] + [(f"b{i}", f"b{i + 1}") for i in range(9)] + [("a", "b0")]
+    edges += [("b7", "w"), ("c", "w"), ("a", "v"), ("b3", "v")]
+    for latest, rank in (("max", lambda p: p), ("deepest", lambda p: p[::-1])):
+        expected = {root: max(found.items(), key=rank) for root, found in walk(set(edges)).items()}
+        assert last(spark, edges, latest) == expected
+
+
 def test_lineage_cycle_over_merges_is_reported(spark):
     edges = [("b", "a"), ("b", "x"), ("c", "b"), ("a", "c"), ("a", "y")]
     with pytest.raises(lineage.LineageCycle):

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from yieldmill.functions.prodtime import in_window
@@ -31,105 +32,94 @@ def last_descendants(edges: DataFrame, latest: str = "max") -> DataFrame:
     ``latest="max"`` takes the greatest run number among all descendants,
     ``latest="deepest"`` the one most conversions away, then the greatest.
 
-    Runs with one parent form trees; a run merged from several parents is the root
-    of its own tree.  Inside the trees the search doubles its reach each round, so a
-    chain of n runs takes log2(n) rounds, and a round holds one ancestor per run.
-    Then the trees are settled from the last merges back: a tree offers its result
-    to the trees of its root's parents once no other tree has anything left to offer to
-    it.  These rounds carry one row per tree; when all trees are settled, the offers climb
-    inside them with the jumps of the first part.  Every conversion is used once there,
-    so no round holds more than the conversions.  A cycle inside a
-    tree never runs out of ancestors, one over merges leaves no tree to settle;
-    both are reported.
+    A run starts with its children as offers and as open links.  In each round a link to a
+    settled run, one without open links, hands over that run's best descendant and is used
+    up; a link to a run with one open child hands over what that run has so far and moves on
+    to the child.  So leaves fall off while chains halve: a chain of n runs takes log2(n)
+    rounds, also through runs merged from several.  Only links still open and the runs at
+    their ends go on to the next round, never more links than conversions.  In a cycle a
+    round comes that uses up no link; that is reported.
     """
     if latest not in ("max", "deepest"):
         raise ValueError(f"latest must be 'max' or 'deepest', not {latest!r}")
     rank = ("run", "depth") if latest == "max" else ("depth", "run")
-    links = edges.select(F.col("RUN_NO").alias("node"), F.col("FROM_RUN").alias("ancestor"))
-    links = materialise(links.distinct(), "links")
-    parents = links.groupBy("node").agg(F.count("*").alias("parents"), F.min("ancestor").alias("ancestor"))
-    jumps = materialise(parents.where("parents = 1").select("node", "ancestor"), "jumps")
-    merged = materialise(links.join(parents.where("parents > 1").select("node"), "node"), "merges")
-    best, levels = _climb_trees(jumps, rank)
-    best = _settle_merges(merged, best, levels, rank)
-    return best.select(F.col("ancestor").alias("FROM_RUN"), F.col("run").alias("RUN_NO"), "depth")
-
-
-def _climb_trees(jumps: DataFrame, rank: tuple[str, str]) -> tuple[DataFrame, list[DataFrame]]:
-    """The best descendant of each run in its tree, and the ancestors 1, 2, 4, ... away."""
-    # Without a cycle no chain is longer than the number of conversions.
-    longest = pairs = jumps.count()
-    levels: list[DataFrame] = []
-    # best: the best strict descendant of a run at a distance of at most `reach`.
-    best = _best(
-        jumps.select("ancestor", F.col("node").alias("run"), F.lit(1).alias("depth")), rank
+    offers = edges.select(
+        F.col("FROM_RUN").alias("node"),
+        F.col("RUN_NO").alias("child"),
+        F.lit(1).alias("dist"),
+        F.col("RUN_NO").alias("run"),
+        F.lit(1).alias("depth"),
+        F.lit(False).alias("listed"),
+        F.lit("link").alias("kind"),
     )
-    best = materialise(best, "best")
-    reach = 1
-    while pairs:
-        if reach > longest:
-            raise LineageCycle("run conversions form a cycle")
-        levels.append(jumps)
-        # A node `reach` away offers its own best descendant to that ancestor.
-        carried = jumps.join(best.withColumnRenamed("ancestor", "node"), "node").select(
-            "ancestor", "run", (F.col("depth") + reach).alias("depth")
-        )
-        better = _best(best.unionByName(carried), rank)
-        above = jumps.select(F.col("node").alias("ancestor"), F.col("ancestor").alias("next"))
-        further = jumps.join(above, "ancestor").select("node", F.col("next").alias("ancestor"))
-        # One write per round holds both results, in a folder each.
-        state = better.withColumn("kind", F.lit("best")).unionByName(
-            further.withColumn("kind", F.lit("jump")), allowMissingColumns=True
-        )
-        state, pairs = _written(state, "lineage", "jump")
-        best = state.filter(F.col("kind") == "best").select("ancestor", "run", "depth")
-        jumps = state.filter(F.col("kind") == "jump").select("node", "ancestor")
-        reach *= 2
-    return best, levels
-
-
-def _settle_merges(
-    merged: DataFrame, best: DataFrame, levels: list[DataFrame], rank: tuple[str, str]
-) -> DataFrame:
-    """``best`` with what merged runs offer to all their ancestors.
-
-    The rounds work on whole trees: each has one value, the best descendant of its root.
-    Offers climb inside the trees once, when all values are final.
-    """
-    left = merged.count()
-    if not left:
-        return best
-    # Root of the tree that each parent of a merged run stands in, and how far away it is.
-    tops = merged.select("ancestor", F.col("ancestor").alias("top"), F.lit(0).alias("up")).distinct()
-    for level, jumps in reversed(list(enumerate(levels))):
-        above = jumps.select(F.col("node").alias("top"), F.col("ancestor").alias("higher"))
-        climbed = F.col("up") + F.when(F.col("higher").isNotNull(), 2**level).otherwise(0)
-        tops = tops.join(above, "top", "left").select(
-            "ancestor", F.coalesce("higher", "top").alias("top"), climbed.alias("up")
-        )
-    links = materialise(merged.join(tops, "ancestor"), "merges")
-    roots = links.select(F.col("top").alias("ancestor")).union(links.select("node")).distinct()
-    trees, open_links = materialise(best.join(roots, "ancestor", "left_semi"), "trees"), links
+    state, left = _written(offers, "lineage", "link")
+    settled = [state.where("kind = 'settled'")]
     while left:
-        waiting = open_links.select(F.col("top").alias("node")).distinct()
-        ready = open_links.join(waiting, "node", "left_anti")
-        offers = _offers(ready, trees).select(
-            F.col("top").alias("ancestor"), "run", (F.col("depth") + F.col("up")).alias("depth")
-        )
-        still = open_links.join(waiting, "node", "left_semi")
-        state = _best(trees.unionByName(offers), rank).withColumn("kind", F.lit("tree"))
-        state = state.unionByName(still.withColumn("kind", F.lit("link")), allowMissingColumns=True)
-        state, still_left = _written(state, "settled", "link")
-        trees = state.filter(F.col("kind") == "tree").select("ancestor", "run", "depth")
-        open_links = state.filter(F.col("kind") == "link").select("ancestor", "node", "top", "up")
-        # Each round uses a link at least, unless merges lead back to where they started.
+        state, still_left = _written(_next_round(state, rank), "lineage", "link")
         if still_left == left:
             raise LineageCycle("run conversions form a cycle")
         left = still_left
-    offers = materialise(_best(_offers(links, trees).select("ancestor", "run", "depth"), rank), "offers")
-    for level, jumps in enumerate(levels):
-        offers = _best(_also_above(offers, jumps, 2**level), rank)
-    return _best(best.unionByName(offers), rank)
+        settled.append(state.where("kind = 'settled'"))
+    # What the last links have led to is settled without a further round.
+    rest = _runs(state, rank).where("low IS NULL AND NOT listed")
+    best = reduce(DataFrame.unionByName, [rows.select("node", "run", "depth") for rows in [*settled, rest]])
+    return best.select(F.col("node").alias("FROM_RUN"), F.col("run").alias("RUN_NO"), "depth")
+
+
+def _runs(state: DataFrame, rank: tuple[str, str]) -> DataFrame:
+    """Per run its best descendant so far, its least and greatest open child, and the way there."""
+    # The filter is the one that joins would add, so that all uses share one shuffle.
+    rows = state.where("kind <> 'settled' AND node IS NOT NULL")
+    found = rows.groupBy("node").agg(
+        F.max(F.struct(*rank)).alias("best"),
+        F.min("child").alias("low"),
+        F.max("child").alias("high"),
+        F.max("dist").alias("dist"),
+        F.bool_or("listed").alias("listed"),
+    )
+    return found.select("node", "best.run", "best.depth", "low", "high", "dist", "listed")
+
+
+def _next_round(state: DataFrame, rank: tuple[str, str]) -> DataFrame:
+    """The state after each open link has met the run it leads to.
+
+    Rows of a state: open links, with what they have handed over last; values, the best
+    of a run so far; and runs settled in this round.  A settled run stays as a ``listed``
+    value as long as links lead to it, because others may still move on to it.
+    """
+    runs = _runs(state, rank)
+    ends = runs.select(*[F.col(name).alias(f"end_{name}") for name in runs.columns])
+    links = state.where("kind = 'link'").select("node", "child", "dist")
+    met = links.join(ends, F.col("child") == F.col("end_node"), "left")
+
+    def row(node, child, dist, run, depth, listed: bool) -> Column:
+        kind = F.when(child.isNotNull(), "link").otherwise("value")
+        values = {"node": node, "child": child, "dist": dist, "run": run, "depth": depth}
+        values |= {"listed": F.lit(listed), "kind": kind}
+        return F.struct(*[value.alias(name) for name, value in values.items()])
+
+    node, child, dist = F.col("node"), F.col("child"), F.col("dist")
+    run, depth = F.col("end_run"), F.col("end_depth")
+    no_run, no_number = F.lit(None).cast(state.schema["run"].dataType), F.lit(None).cast("int")
+    used_up = F.array(
+        row(node, no_run, no_number, run, dist + depth, False),
+        row(child, no_run, no_number, run, depth, True),
+    )
+    moved = F.array(row(node, F.col("end_low"), dist + F.col("end_dist"), run, dist + depth, False))
+    waiting = F.array(row(node, child, dist, no_run, no_number, False))
+    after = (
+        F.when(F.col("end_node").isNull(), F.array().cast(met.select(waiting).schema[0].dataType))
+        .when(F.col("end_listed") | F.col("end_low").isNull(), used_up)
+        .when(F.col("end_low") == F.col("end_high"), moved)
+        .otherwise(waiting)
+    )
+    # Here and in the join all columns of the runs are named, so that their shuffle is used twice.
+    open_ = F.col("low").isNotNull() & F.col("high").isNotNull() & F.col("dist").isNotNull()
+    own = runs.where(open_ | ~F.col("listed")).select(
+        row(node, no_run, no_number, F.col("run"), F.col("depth"), False).alias("row"), open_.alias("open")
+    )
+    values = own.select("row.*", "open").withColumn("kind", F.when(F.col("open"), "value").otherwise("settled"))
+    return met.select(F.explode(after).alias("row")).select("row.*").unionByName(values.drop("open"))
 
 
 def _written(state: DataFrame, label: str, kind: str) -> tuple[DataFrame, int]:
@@ -141,39 +131,6 @@ def _written(state: DataFrame, label: str, kind: str) -> tuple[DataFrame, int]:
     return state, rows_seen(seen)
 
 
-def _offers(links: DataFrame, trees: DataFrame) -> DataFrame:
-    """What merged runs offer to their parents: themselves and their best descendant."""
-    own = trees.select(F.col("ancestor").alias("node"), "run", F.col("depth").alias("below"))
-    both = F.filter(
-        F.array(
-            F.struct(F.col("node").alias("run"), F.lit(1).alias("depth")),
-            F.struct("run", (F.col("below") + 1).alias("depth")),
-        ),
-        lambda offer: offer["depth"].isNotNull(),
-    )
-    found = links.join(own, "node", "left").select("ancestor", "top", "up", F.explode(both).alias("offer"))
-    return found.select("ancestor", "top", "up", "offer.run", "offer.depth")
-
-
-def _also_above(offers: DataFrame, jumps: DataFrame, distance: int) -> DataFrame:
-    """Each offer, also for the ancestor ``distance`` conversions above its run."""
-    above = jumps.select(F.col("node").alias("ancestor"), F.col("ancestor").alias("higher"))
-    places = F.filter(
-        F.array(
-            F.struct("ancestor", "depth"),
-            F.struct(F.col("higher").alias("ancestor"), (F.col("depth") + distance).alias("depth")),
-        ),
-        lambda place: place["ancestor"].isNotNull(),
-    )
-    joined = offers.join(above, "ancestor", "left").select("run", F.explode(places).alias("place"))
-    return joined.select("place.ancestor", "run", "place.depth")
-
-
-def _best(rows: DataFrame, rank: tuple[str, str]) -> DataFrame:
-    chosen = rows.groupBy("ancestor").agg(F.max(F.struct(*rank)).alias("_best"))
-    return chosen.select("ancestor", "_best.run", "_best.depth")
-
-
 def run_lineage(
     cards: DataFrame,
     edges: DataFrame,
