@@ -22,9 +22,11 @@ from yieldmill.llm import (
     pii,
     quality_classifier,
     quality_rules,
+    sketch,
     substring_dedup,
     topk,
 )
+from yieldmill.session import materialise
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, size string, doc string, score string"
@@ -278,6 +280,29 @@ def groups_of(rows, n=5, percent=80):
     return [(r[0], len(s), rows[root[i]][0]) for i, (r, s) in enumerate(zip(rows, sets))]
 
 
+def test_sketch_sends_a_byte_for_a_short_gap():
+    """Dense counters take a byte each, sparse ones two, and both are read back as counted."""
+    for n, space, width in ((60_000, 1 << 20, 1), (300, 1 << 24, 2)):
+        counted = sketch.Counters()
+        counted.add(np.sort(np.random.default_rng(3).choice(space, n, replace=False)).astype(np.uint64))
+        sent = [gaps for batch in counted.batches() for gaps in batch.column("gaps").to_pylist()]
+        assert sum(map(len, sent)) <= 1.01 * width * n
+
+
+def test_ngram_sets_are_kept_once_without_a_shuffle(spark):
+    """Sets stay in the rows they were written in; a class that two tasks hold is joined once."""
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(i, text if i % 2 else text + " end") for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc long, body string").repartition(4)
+    held = materialise(ngram_join.ordered_sets(docs, 5, 80), "test-rows").where("tokens IS NOT NULL")
+    wanted = held.groupBy("c").agg(F.min("at").alias("at"))
+    sets = ngram_join.sets_of(held, wanted)
+    assert "Exchange" not in sets._jdf.queryExecution().executedPlan().toString()
+    assert held.select("at").distinct().count() == held.count() > wanted.count() == 2
+    assert sets.join(wanted, ["c", "at"]).count() == 2
+    assert {r.component_id for r in ngram_join.similar_groups(docs, "doc", "body").collect()} == {0}
+
+
 @pytest.mark.parametrize("block", [2, 512])
 def test_ngram_join(docs, empty, block):
     got = ngram_join.similar_groups(docs, block=block).collect()
