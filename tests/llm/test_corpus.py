@@ -303,6 +303,42 @@ def test_ngram_sets_are_kept_once_without_a_shuffle(spark):
     assert {r.component_id for r in ngram_join.similar_groups(docs, "doc", "body").collect()} == {0}
 
 
+def test_ngram_classes_of_one_block_meet_once(spark):
+    """An n-gram stays open only if its classes differ in label and in block."""
+    entries = spark.createDataFrame([(c, t) for t in (1, 2, 3) for c in (10 * t, 10 * t + 1)], "c long, token long")
+    place = {10: (10, 7), 11: (11, 7), 20: (20, 7), 21: (21, 8), 30: (30, 7), 31: (30, 8)}
+    labels = spark.createDataFrame([(c, *p) for c, p in place.items()], "c long, label long, block long")
+    assert {r.token for r in ngram_join.unconnected(entries.join(labels, "c")).collect()} == {2}
+
+
+def test_ngram_rows_hold_what_others_may_share(spark):
+    """N-grams of one set only are counted in its size, but neither kept nor sent."""
+    shared = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(0, shared), (1, shared + " x y z")], "doc long, body string").coalesce(1)
+    rows = materialise(ngram_join.ordered_sets(docs, 5, 80), "test-rows")
+    assert sorted((r["size"], len(r.tokens) // 8) for r in rows.collect()) == [(36, 36), (39, 36)]
+    others = spark.createDataFrame([(9, 9, [1, 2, 3]), (8, 8, [3, 4]), (7, 7, [5])], "c long, at long, prefix array<long>")
+    left = ngram_join.shared_prefixes(others, others.where("c > 7")).collect()
+    assert {r.c: list(r.prefix) for r in left if r.c > 7} == {9: [3], 8: [3]}
+
+
+@pytest.mark.parametrize("block", [3, 16])
+def test_ngram_join_near_the_threshold(spark, block):
+    """Edits of few texts, many of them just linked or just not, in small and larger blocks."""
+    rng = random.Random(11)
+    rows = []
+    for base in range(4):
+        text = [f"b{base}w{i}" for i in range(120)]
+        for _ in range(15):
+            own = list(text)
+            for at in rng.sample(range(120), rng.randint(0, 5)):
+                own[at] = f"e{rng.randint(0, 50)}"
+            rows.append((len(rows), " ".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = ngram_join.similar_groups(docs, block=block).collect()
+    assert sorted(map(tuple, got)) == sorted(groups_of(rows))
+
+
 @pytest.mark.parametrize("block", [2, 512])
 def test_ngram_join(docs, empty, block):
     got = ngram_join.similar_groups(docs, block=block).collect()
