@@ -175,6 +175,42 @@ def test_divergence_equals_brute_force(spark, monkeypatch, shard, sent, width, h
     assert sorted(tuple(r) for r in out.collect()) == plain_audit(rows)
 
 
+def test_counts_travel_by_block(spark, monkeypatch):
+    """A task sends a row for each source and block of terms, not for each source and term."""
+    monkeypatch.setattr(divergence, "WIDTH", 16)
+    words = [f"w{a}{b}" for a in "abcdefgh" for b in "abcdefgh"]
+    rows = [(w, "en", s) for s in ("a", "b") for w in (" ".join(words), " ".join(words[::2]), "other")]
+    texts = spark.createDataFrame(rows, "text string, lang string, source string").coalesce(1)
+    texts = texts.select("lang", "source", F.col("text").cast("binary").alias("text"))
+    terms = spark.createDataFrame([("en", w.encode(), k) for k, w in enumerate(words, 1)], "lang string, term binary, ordinal long")
+    load = [(r.lang, r.first, r.least, r.data) for r in divergence.shards(terms).collect()]
+    cells = divergence._stream(texts, load)
+    # Ordinals 1 to 64 lie in blocks 0 to 4; before, 128 rows travelled.
+    assert sorted((r.source, r.block) for r in cells.collect()) == [(s, b) for s in "ab" for b in range(5)]
+    want = [("en", s, k, 1 + k % 2, 2 * (1 + k % 2)) for s in "ab" for k in range(1, 65)]
+    assert sorted(tuple(r) for r in divergence.summed(cells.unionByName(cells.limit(0))).collect()) == want
+
+
+def test_words_are_counted_by_number(monkeypatch):
+    monkeypatch.setattr(divergence, "HELD", 3)
+    monkeypatch.setattr(divergence, "WAITING", 200)
+    held = divergence.Numbered()
+    held.add("en", "a", [])
+    assert not held.of and not held.full()
+    held.add("en", "a", [b"x", b"y", b"x"])
+    held.add("en", "b", [b"z", b"x"])
+    held.add("de", "a", [b"z"])
+    assert held.full()  # four distinct ones
+    got = {}
+    for lang, terms, sources in held.empty():
+        for source, (found, n) in sources.items():
+            got[lang, source] = {terms[k]: t for k, t in zip(found.tolist(), n.tolist())}
+    assert got == {("en", "a"): {b"x": 2, b"y": 1}, ("en", "b"): {b"z": 1, b"x": 1}, ("de", "a"): {b"z": 1}}
+    assert not held.of and not held.words and not held.full()
+    held.add("en", "a", [b"x"] * 200)
+    assert held.full()  # many words
+
+
 def test_divergence_of_nothing(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert divergence.audit(empty).count() == 0

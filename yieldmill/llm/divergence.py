@@ -4,9 +4,12 @@
   least ``LEAST_DOCS`` documents are kept, numbered in byte order over all languages.
 * Runs of ``SHARD_TERMS`` numbers each become a minimal acyclic transducer, built by
   the task that holds the run.  The texts are streamed through the transducers for
-  the recount: a task counts its terms by language and source and turns each distinct
-  one into its ordinal, by the transducer of the run in which it would lie.  What is broadcast at once is limited to ``SENT_BYTES``; a
-  vocabulary beyond that is sent in turn, one pass over the texts for each load.
+  the recount: a task numbers its terms, counts the numbers by language and source and
+  turns each distinct term into its ordinal, by the transducer of the run in which it
+  would lie.  What is broadcast at once is limited to ``SENT_BYTES``; a vocabulary
+  beyond that is sent in turn, one pass over the texts for each load.
+* Counts travel by source and block of ``WIDTH`` ordinals, a row for each; where the
+  rows of a block meet, they are added up one block at a time.
 * From there on terms are ordinals, which also break ties: their order is the terms'.
 * ``p = 1 + floor(10^9 (count + 2) / (N + 2V))`` for group and language; the divergence
   of a term is ``floor((p - q)^2 / (p + q))``.  Ordinals are cut into blocks of
@@ -27,8 +30,8 @@ are read, so other columns cannot clash.
 
 from __future__ import annotations
 
-from bisect import bisect_left
-from collections import Counter
+from bisect import bisect_right
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,7 +49,9 @@ TOP = 10
 SHARD_TERMS = 1 << 17
 SENT_BYTES = 32 << 20
 WIDTH = 1024
-HELD = 1 << 18  # counts that a task holds before it passes them on
+HELD = 1 << 18  # distinct terms that a task holds before it passes their counts on
+WAITING = 1 << 22  # words that it holds by number, 16 MB
+CELLS = "lang string, source string, block long, at array<int>, n array<long>"
 
 split = splitter(digits=False)
 
@@ -135,8 +140,48 @@ def shards(terms: DataFrame) -> DataFrame:
     return runs.applyInArrow(build, "lang string, first long, least binary, size long, data binary")
 
 
+class Numbered:
+    """Words of a task: each distinct one has a number in its language, each group holds the numbers of its words."""
+
+    def __init__(self):
+        self.of: dict[str, defaultdict[bytes, int]] = {}
+        self.words: dict[str, dict[str, list[np.ndarray]]] = {}
+        self.distinct = self.waiting = 0
+
+    def add(self, lang: str, source: str, terms: list[bytes]) -> None:
+        if not terms:
+            return
+        number = self.of.get(lang)
+        if number is None:
+            number = self.of[lang] = defaultdict()
+            number.default_factory = number.__len__
+        before = len(number)
+        found = np.fromiter(map(number.__getitem__, terms), np.int32, len(terms))
+        self.words.setdefault(lang, {}).setdefault(source, []).append(found)
+        self.distinct += len(number) - before
+        self.waiting += len(found) + 64  # what an array takes besides
+
+    def full(self) -> bool:
+        return self.distinct > HELD or self.waiting > WAITING
+
+    def empty(self) -> Iterator[tuple[str, list[bytes], dict[str, tuple[np.ndarray, np.ndarray]]]]:
+        """Of each language its terms, and by source the numbers that occur and how often."""
+        for lang, number in self.of.items():
+            sources = {}
+            for source, words in self.words[lang].items():
+                found = np.concatenate(words)
+                if len(number) <= 4 * len(found):
+                    times = np.bincount(found, minlength=len(number))
+                    found = np.flatnonzero(times)
+                    sources[source] = found, times[found]
+                else:
+                    sources[source] = np.unique(found, return_counts=True)
+            yield lang, list(number), sources
+        self.__init__()
+
+
 def recount(texts: DataFrame, terms: DataFrame) -> DataFrame:
-    """Occurrences of kept terms by language and source: lang, source, ordinal, n."""
+    """Occurrences of kept terms by language and source: lang, source, ordinal, n, lang_n (of all sources)."""
     built = materialise(shards(terms), "transducers")
     loads: list[list[int]] = []
     held = SENT_BYTES
@@ -150,60 +195,107 @@ def recount(texts: DataFrame, terms: DataFrame) -> DataFrame:
         _stream(texts, [tuple(r) for r in built.filter(F.col("first").isin(load)).drop("size").collect()])
         for load in loads
     ]
-    found = texts.sparkSession.createDataFrame([], "lang string, source string, ordinal long, n long")
+    found = texts.sparkSession.createDataFrame([], CELLS)
     for part in parts:
         found = found.unionByName(part)
-    return found.groupBy("lang", "source", "ordinal").agg(F.sum("n").alias("n"))
+    return summed(found)
 
 
 def _stream(texts: DataFrame, load: list[tuple[str, int, bytes, bytes]]) -> DataFrame:
+    """The cells that each task has counted, a row for each source and block of ordinals."""
     sent = texts.sparkSession.sparkContext.broadcast(load)
+    width = WIDTH
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machines: dict[str, list] = {}
         for lang, first, least, data in sorted(sent.value, key=lambda row: row[:2]):
             machines.setdefault(lang, []).append((least, first, transducer.Transducer.load(data)))
-        held = Counts()
+        held = Numbered()
         for batch in batches:
             columns = (batch.column("text"), batch.column("lang").to_pylist(), batch.column("source").to_pylist())
             for value, lang, source in zip(*columns):
                 if lang in machines:
-                    held.add((lang, source), split(value.as_py()))
+                    held.add(lang, source, split(value.as_py()))
                     if held.full():
                         yield from rows(machines, held)
         yield from rows(machines, held)
 
-    def rows(machines: dict[str, list], held: Counts) -> Iterator[pa.RecordBatch]:
-        groups = list(held.empty())
-        for lang in dict.fromkeys(group[0] for group, _, _ in groups):
-            own = [(group[1], terms, n) for group, terms, n in groups if group[0] == lang]
+    def rows(machines: dict[str, list], held: Numbered) -> Iterator[pa.RecordBatch]:
+        for lang, terms, sources in held.empty():
             # A term goes through its transducer once, however many sources have it.
-            place = places(machines[lang], list(set().union(*(terms for _, terms, _ in own))))
-            for source, terms, n in own:
-                found = np.array([place.get(term, -1) for term in terms], np.int64)
-                size = int((found >= 0).sum())
+            place = places(machines[lang], terms)
+            order = np.argsort(place, kind="stable")
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            place = place[order]
+            for source, (found, n) in sources.items():
+                found = rank[found]
+                by = np.argsort(found)
+                ordinal, n = place[found[by]], n[by]
+                ordinal, n = ordinal[ordinal >= 0], n[ordinal >= 0]
+                block = ordinal // width
+                first = np.flatnonzero(np.append(True, block[1:] != block[:-1])) if len(block) else block
+                bounds = pa.array(np.append(first, len(block)), pa.int32())
                 columns = [
-                    pa.array([lang] * size, pa.string()),
-                    pa.array([source] * size, pa.string()),
-                    pa.array(found[found >= 0]),
-                    pa.array(n[found >= 0]),
+                    pa.array([lang] * len(first), pa.string()),
+                    pa.array([source] * len(first), pa.string()),
+                    pa.array(block[first]),
+                    pa.ListArray.from_arrays(bounds, pa.array((ordinal - block * width).astype(np.int32))),
+                    pa.ListArray.from_arrays(bounds, pa.array(n.astype(np.int64))),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["lang", "source", "ordinal", "n"])
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "source", "block", "at", "n"])
 
-    def places(runs: list, terms: list[bytes]) -> dict[bytes, int]:
-        """Ordinals of the terms that are kept, each from the run in which it would lie."""
-        if len(runs) > 1:
-            terms.sort()
+    def places(runs: list, terms: list[bytes]) -> np.ndarray:
+        """Ordinals of the terms, each from the run in which it would lie; -1 for those not kept."""
         # Terms below the first run are unknown to it, as they are to all others.
-        cuts = [0, *(bisect_left(terms, least) for least, _, _ in runs[1:]), len(terms)]
-        known = {}
-        for low, high, (_, first, machine) in zip(cuts, cuts[1:], runs):
-            place = machine.ordinals(terms[low:high])
-            hit = np.flatnonzero(place >= 0)
-            known.update((terms[low + k], first + place[k]) for k in hit.tolist())
-        return known
+        starts = [least for least, _, _ in runs[1:]]
+        run = np.fromiter((bisect_right(starts, term) for term in terms), np.int32, len(terms)) if starts else None
+        place = np.full(len(terms), -1, np.int64)
+        for k, (_, first, machine) in enumerate(runs):
+            own = np.arange(len(terms)) if run is None else np.flatnonzero(run == k)
+            found = machine.ordinals(terms if run is None else [terms[i] for i in own.tolist()])
+            place[own] = np.where(found >= 0, first + found, -1)
+        return place
+
+    return texts.mapInArrow(stream, CELLS)
+
+
+def summed(cells: DataFrame) -> DataFrame:
+    """A row for each source and ordinal; a task adds up one block of one language at a time."""
+    width = WIDTH
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, {}
+        for batch in batches:
+            names = [batch.column(k).to_pylist() for k in range(3)]
+            at, n = (batch.column(k).flatten().to_numpy() for k in (3, 4))
+            ends = np.cumsum(batch.column(3).value_lengths().to_numpy()).tolist()
+            low = 0
+            for lang, source, block, high in zip(*names, ends):
+                if last != (lang, block):
+                    yield from rows(last, held)
+                    last, held = (lang, block), {}
+                if source not in held:
+                    held[source] = np.zeros(width, np.int64)
+                held[source][at[low:high]] += n[low:high]  # an ordinal is in a row once
+                low = high
+        yield from rows(last, held)
+
+    def rows(last: tuple[str, int] | None, held: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        whole = sum(held.values())
+        for source, n in held.items():
+            at = np.flatnonzero(n)
+            columns = [
+                pa.array([last[0]] * len(at), pa.string()),
+                pa.array([source] * len(at), pa.string()),
+                pa.array(last[1] * width + at),
+                pa.array(n[at]),
+                pa.array(whole[at]),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "source", "ordinal", "n", "lang_n"])
 
-    return texts.mapInArrow(stream, "lang string, source string, ordinal long, n long")
+    together = cells.repartition("lang", "block").sortWithinPartitions("lang", "block")
+    return together.mapInArrow(add, "lang string, source string, ordinal long, n long, lang_n long")
 
 
 def share(count: str, total: str, v: str = "v") -> Column:
@@ -214,10 +306,8 @@ def share(count: str, total: str, v: str = "v") -> Column:
 
 def shares(counts: DataFrame, groups: DataFrame) -> DataFrame:
     """Counts above 0 with the shares p of the group and q of its language."""
-    whole = Window.partitionBy("lang", "ordinal")
-    rows = counts.withColumn("lang_n", F.sum("n").over(whole))
     langs = groups.groupBy("lang").agg(F.sum("total").alias("lang_total"))
-    rows = rows.join(groups.join(langs, "lang"), ["lang", "source"])
+    rows = counts.join(groups.join(langs, "lang"), ["lang", "source"])
     return rows.select(
         "lang",
         "source",
