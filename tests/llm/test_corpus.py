@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -322,6 +323,36 @@ def test_ngram_rows_hold_what_others_may_share(spark):
     assert {r.c: list(r.prefix) for r in left if r.c > 7} == {9: [3], 8: [3]}
 
 
+def test_prefixes_are_filtered_by_one_worker_a_task(spark):
+    docs = spark.createDataFrame([(i, "a b c d e f g") for i in range(4)], "doc long, body string")
+    held = materialise(ngram_join.ordered_sets(docs, 5, 80), "test-rows").where("tokens IS NOT NULL")
+    heads = ngram_join.shared_prefixes(held, held.select("at"))
+    plan = heads._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[-1].count("MapInArrow") == 1
+    assert [len(r.prefix) > 0 for r in heads.collect()] == [True]
+
+
+def test_counters_sum_new_places_in_little_room():
+    """Sums of many keys are as a plain count, and take little more than the keys themselves."""
+    rng = np.random.default_rng(3)
+    held, want = sketch.Counters(), np.zeros(1 << 16, np.int64)
+    for _ in range(5):
+        places = rng.integers(0, 1 << 16, 1 << 19).astype(np.uint64) // np.uint64(1 + rng.integers(3))
+        want += np.bincount(places.astype(np.int64), minlength=1 << 16)
+        held.add(places)
+    held.settle()
+    got = np.zeros(1 << 16, np.int64)
+    got[held.places.astype(np.int64)] = held.counts
+    assert (got == np.minimum(want, 255)).all()
+    fresh = sketch.Counters()
+    fresh.add(rng.integers(0, 1 << 16, sketch.PENDING - 1).astype(np.uint64))
+    tracemalloc.start()
+    fresh.settle()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2.5 * 8 * sketch.PENDING  # the form before took 5.0 times the keys
+
+
 @pytest.mark.parametrize("block", [3, 16])
 def test_ngram_join_near_the_threshold(spark, block):
     """Edits of few texts, many of them just linked or just not, in small and larger blocks."""

@@ -31,3 +31,13 @@ def test_materialised_rows_are_read_from_the_shared_folder(spark):
     assert values(df) == [(0,), (1,), (2,)]
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "FileScan parquet" in plan
+
+
+def test_few_rows_go_to_few_files(spark):
+    df = spark.range(300).repartition(100, "id")
+    assert df.rdd.getNumPartitions() == 100
+    held = session.materialise(df, "few", rows=300)
+    assert len(held.inputFiles()) <= spark.sparkContext.defaultParallelism
+    many = session.materialise(df, "many", rows=50 * session.FILE_ROWS)
+    assert spark.sparkContext.defaultParallelism < len(many.inputFiles()) <= 50
+    assert sorted(r.id for r in held.collect()) == sorted(r.id for r in many.collect()) == list(range(300))

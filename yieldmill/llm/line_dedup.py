@@ -277,6 +277,7 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         F.col(doc_id).cast("long").alias("doc"), F.col(text).cast("string").alias("body")
     ).where("doc IS NOT NULL AND body IS NOT NULL")
     lines = materialise(line_rows(source), "lines")
+    n = lines.count()
     # Equal lines have equal halves, so any row gives them.
     distinct = materialise(
         lines.groupBy("h", "size")
@@ -287,10 +288,11 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         )
         .select("h", "size", "at.doc", "at.line", (F.col("places") > 1).alias("again"), "k0", "k1", "k2", "k3"),
         "distinct-lines",
+        rows=n,
     )
     places = materialise(near_candidates(distinct), "line-places")
-    near = near_matches(materialise(words_at(source, places), "line-words"))
-    near = materialise(near.withColumn("near", F.lit(True)), "near-lines")
+    near = near_matches(materialise(words_at(source, places), "line-words", rows=places.count()))
+    near = materialise(near.withColumn("near", F.lit(True)), "near-lines", rows=n)
     judged = distinct.select("h", "size", "doc", "line", "again").join(near, ["doc", "line"], "left")
     firsts = judged.where("again OR near").select(
         "h", "size", F.struct("doc", "line").alias("first"), F.coalesce("near", F.lit(False)).alias("near")
@@ -309,7 +311,7 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", counts: b
     With ``counts`` two columns follow: ``n_lines`` with a word and ``n_dropped``;
     documents that lost everything are then kept, with an empty text.
     """
-    gone = materialise(repeated_lines(docs, doc_id, text), "lines-gone")
+    gone = materialise(repeated_lines(docs, doc_id, text), "lines-gone", rows=docs.count())
     at = docs.columns.index(doc_id)
     loses = sketch.id_filter(gone.select("doc"))
 
